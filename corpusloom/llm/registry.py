@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from corpusloom.llm import survivor
+from corpusloom.llm import charset, survivor
 
-QUERIES = {"p3_found": survivor.p3_found, "p3_record": survivor.p3_record}
+QUERIES = {"p2_found": charset.p2_found, "p2_repaired": charset.p2_repaired, "p3_found": survivor.p3_found, "p3_record": survivor.p3_record}
 SQL: dict[str, str] = {**survivor.SQL}

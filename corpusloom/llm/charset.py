@@ -354,11 +354,12 @@ def garbled_page(model: Plausibility, content: bytes, charset: str | None) -> tu
     return (mended if garbled else text), garbled or read != text
 
 
-def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None, mend: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None, mend: bool | str = True) -> DataFrame:
     """Every release and every HTML page with its text as written and mended.
 
     ``work(rel, text)`` may map a record's text to a list of tuples for ``columns``, so that
-    later operators run in the same pass over the bytes and texts don't travel.
+    later operators run in the same pass over the bytes and texts don't travel. ``mend``
+    may be "releases": pages are then read by their true charset but not mended.
     """
     model = model or spark.sparkContext.broadcast(learn(spark, sf_dir))
     work = work or (lambda rel, text, garbled: [(text, garbled)])
@@ -384,7 +385,7 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
             rows = []
             for key, kind, charset, content in zip(batch["url"], batch["id_content_type"], batch["fw_guessed_charset"], batch["content"]):
                 if content is not None and is_html(content, kind):
-                    text, garbled = garbled_page(m, content, charset) if mend else (m.read(content)[0], False)
+                    text, garbled = garbled_page(m, content, charset) if mend is True else (m.read(content)[0], False)
                     rows += [("page_cache", key, None, *x) for x in work("page_cache", text, garbled)]
             yield out(rows)
 

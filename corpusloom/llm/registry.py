@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from corpusloom.llm import charset, residue, survivor
+from corpusloom.llm import boilerplate, charset, residue, survivor
 
-QUERIES = {"p1_found": residue.p1_found, "p2_found": charset.p2_found, "p2_repaired": charset.p2_repaired, "p3_found": survivor.p3_found, "p3_record": survivor.p3_record}
+QUERIES = {"p4_found": boilerplate.p4_found, "p4_article": boilerplate.p4_article, "p1_found": residue.p1_found, "p2_found": charset.p2_found, "p2_repaired": charset.p2_repaired, "p3_found": survivor.p3_found, "p3_record": survivor.p3_record}
 SQL: dict[str, str] = {**survivor.SQL}

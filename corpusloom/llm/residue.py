@@ -80,7 +80,8 @@ NOTICES = (
 #: Filler text.
 FILLER = (
     r"lorem ipsum|(?:body )?copy to follow|(?:headline|title|text|copy|body|caption|name) (?:goes|comes) here|placeholder (?:text|only|copy)|(?:enter|type|insert|add|put) (?:your |the |some )?(?:text|title|headline|content|copy|name)\b.{0,30}(?:here|box|field)|(?:todo|tbd|fixme)\s*:|dummy text|text to follow|your text here|this is (?:a )?(?:sample|dummy|placeholder)"
-    r"|blindtext|platzhalter(?:text)?\b|(?:text|überschrift|inhalt) (?:folgt|kommt noch|hier (?:einfügen|eingeben))|hier (?:steht|folgt|kommt|bitte|entsteht|text|überschrift|ihren?|den|die|das)\b.{0,40}(?:text|überschrift|titel|inhalt|einfügen|eingeben)|(?:ihr|der) text (?:hier|folgt)|geben sie (?:hier )?(?:ihren|den|die)"
+    r"|(?:page |main |your )?(?:title|headline|heading|text|caption|body|quote|name)\b.{0,25}\bhere\W*$|(?:seiten)?(?:titel|überschrift|text|zitat|name)\b.{0,25}\bhier\W*$|(?:titre|texte|citation|nom)\b.{0,25}\bici\W*$|(?:título|titular|texto|cita|nombre)\b.{0,25}\baquí\W*$|(?:tytuł|nagłówek|tekst|cytat|nazwa)\b.{0,25}\b(?:tutaj|tu)\W*$|(?:заголовок|название|текст|цитата|имя)\b.{0,25}\b(?:здесь|тут)\W*$"
+    r"|blindtext|platzhalter(?:text)?\b|(?:text|überschrift|titel|inhalt|zitat|name) (?:bitte )?(?:folgt|kommt noch|(?:hier )?(?:einfügen|eingeben|einsetzen|ergänzen))|hier (?:steht|folgt|kommt|bitte|entsteht|text|überschrift|ihren?|den|die|das)\b.{0,40}(?:text|überschrift|titel|inhalt|einfügen|eingeben)|(?:ihr|der) text (?:hier|folgt)|geben sie (?:hier )?(?:ihren|den|die)"
     r"|texte? (?:à venir|ici|de remplissage|provisoire|factice|en attente)|(?:saisissez|insérez|entrez|écrivez|tapez) (?:ici |votre |le |un )|votre texte ici|titre (?:ici|à venir|à compléter)"
     r"|texto (?:pendiente|de relleno|aquí|provisional|por venir|de ejemplo)|(?:escriba|introduzca|inserte|ponga|añada) (?:aquí|su|el|un) |título (?:aquí|pendiente)"
     r"|(?:tutaj|tu) (?:wpisz|wstaw|będzie|pojawi)|(?:wpisz|wstaw|wprowadź) (?:tutaj|tu|tekst|tytuł|treść|swój)|tekst (?:zastępczy|do uzupełnienia|wkrótce|przykładowy|w przygotowaniu|próbny)|treść (?:wkrótce|do uzupełnienia|w przygotowaniu)"

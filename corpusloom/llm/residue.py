@@ -87,7 +87,7 @@ FILLER = (
     r"|(?:tutaj|tu) (?:wpisz|wstaw|będzie|pojawi)|(?:wpisz|wstaw|wprowadź) (?:tutaj|tu|tekst|tytuł|treść|swój)|tekst (?:zastępczy|do uzupełnienia|wkrótce|przykładowy|w przygotowaniu|próbny)|treść (?:wkrótce|do uzupełnienia|w przygotowaniu)"
     r"|(?:введите|вставьте|напишите|впишите) (?:здесь|сюда|текст|заголовок|ваш|свой)|здесь (?:будет|должен быть|может быть|вставьте|введите)|текст (?:будет|появится|заглушка|для заполнения|в работе|готовится)|заголовок (?:будет|здесь)|рыба-?текст"
 )
-TRUSTED = re.compile(rf"(?i)^\W{{0,3}}{_CODE}(?:{ERRORS}|{NOTICES}|{FILLER})")
+TRUSTED = re.compile(rf"\W{{0,3}}{_CODE}(?:{ERRORS}|{NOTICES}|{FILLER})")  # of lower-cased passages
 #: A bracket that tells the writer what to put there.
 BRACKET = re.compile(r"(?i)\[[^\[\]\n]{0,60}\b(?:insert|add|enter|place|einfügen|einsetzen|ergänzen|insérer|ajouter|insertar|añadir|wstaw|wstawić|dodaj|вставьте|вставить|добавьте)\b[^\[\]\n]{0,60}\]")
 #: The words of the usual Latin filler.
@@ -100,7 +100,8 @@ LATIN = frozenset(
     "rutrum sagittis scelerisque sem suspendisse tellus tortor tristique ultrices ultricies varius vel vehicula venenatis viverra volutpat".split()
 )
 _WORD = re.compile(r"\w+")
-_MASKS = ((re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b"), "0"), (re.compile(r"\b[\w-]+\.example\b|\b(?:www\.)?[\w-]+\.(?:com|org|net|de|fr|es|pl|ru|co\.uk)\b"), "site"), (re.compile(r"(?<![\w<])/[\w./?=&%-]+"), " path "), (re.compile(r"\d[\d.,:]*"), "0"))
+_MASKS = ((re.compile(r"\b(?:www\.)?[\w-]+\.(?:example|com|org|net|de|fr|es|pl|ru)\b"), "site"), (re.compile(r"(?<![\w<])/[\w./?=&%-]+"), " path "))
+_HEX = re.compile(r"[0-9a-f]*[0-9][0-9a-f]*")
 _DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|title|head)\b.*?</\1\s*>|<!doctype[^>]*>")
 _BLOCKS = re.compile(r"(?i)</?(?:p|div|li|ul|ol|td|th|tr|table|h[1-6]|br|hr|body|html|main|article|nav|aside|footer|header|section|form|small|pre|blockquote|dl|dt|dd|a(?=\s[^>]*>\s*[^<]*</a>\s*<br))\b[^>]*>")
 _TAGS = re.compile(r"</?[A-Za-z][^>]*>")
@@ -124,18 +125,23 @@ def placeholder(passage: str) -> bool:
 
 def trusted(passage: str) -> bool:
     """True for a passage that is residue as a whole."""
-    if TRUSTED.search(passage):
+    low = passage.lower()
+    if TRUSTED.match(low):
         return True
-    words = _WORD.findall(passage.lower())
+    words = low.split(None, 24)[:24]
+    if sum(w.strip(".,") in LATIN for w in words) < 0.5 * len(words):
+        return False
+    words = _WORD.findall(low)
     return len(words) >= 5 and sum(w in LATIN for w in words) >= 0.8 * len(words)
 
 
 def masked(passage: str) -> str:
     """The passage's words, lower-cased, without what differs from copy to copy."""
     passage = passage.lower()
-    for pattern, to in _MASKS:
-        passage = pattern.sub(to, passage)
-    return " ".join(_WORD.findall(passage))
+    if "." in passage or "/" in passage:
+        for pattern, to in _MASKS:
+            passage = pattern.sub(to, passage)
+    return " ".join(["0" if w[0] in "0123456789" or (len(w) > 5 and not w.isalpha() and _HEX.fullmatch(w)) else w for w in _WORD.findall(passage)])
 
 
 _HASHES: dict[str, int] = {}
@@ -153,15 +159,16 @@ def simhashes(texts: list[str]) -> np.ndarray:
     """64-bit SimHash (signed) of each masked text, over its words and pairs of words."""
     if not texts:
         return np.zeros(0, np.int64)
-    flat: list[int] = []
+    words: list[int] = []
     starts = []
     for text in texts:
-        starts.append(len(flat))
-        words = text.split() or [""]
-        flat += map(_hash, words)
-        flat += map(_hash, map(" ".join, zip(words, words[1:])))
-    features = np.array(flat, np.uint64)
-    edges, sizes = np.array(starts), np.diff([*starts, len(flat)])
+        starts.append(len(words))
+        words += map(_hash, text.split() or [""])
+    one = np.array(words, np.uint64)
+    pair = (one * np.uint64(0x9E3779B97F4A7C15)) ^ np.roll((one << np.uint64(31)) | (one >> np.uint64(33)), -1)
+    pair[np.array([*starts[1:], len(words)]) - 1] = one[np.array([*starts[1:], len(words)]) - 1]  # a text's last word has no pair
+    features = np.column_stack((one, pair)).ravel()
+    edges, sizes = np.array(starts) * 2, np.diff([*starts, len(words)]) * 2
     out = np.zeros(len(texts), np.uint64)
     for bit in range(64):
         ones = np.add.reduceat(((features >> np.uint64(bit)) & np.uint64(1)).astype(np.int32), edges)
@@ -183,13 +190,23 @@ def similar_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype=bool)
 
 
+_KNOWN: dict[str, tuple[bool, bool, str]] = {}
+
+
 def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
     """(seed, in_use, masked) of each distinct passage; the first two tell whether it is
     residue as a whole and whether it holds a placeholder in use."""
     out = {}
     for p in passages(rel, text):
-        if (m := masked(p)) not in out or not (out[m][0] or out[m][1]):
-            out[m] = (trusted(p), placeholder(p), m)
+        if (known := _KNOWN.get(p)) is None:
+            known = (trusted(p), placeholder(p), masked(p))
+            if len(p) < 100:  # menus and the like come again and again
+                if len(_KNOWN) > 100_000:
+                    _KNOWN.clear()
+                _KNOWN[p] = known
+        m = known[2]
+        if m not in out or not (out[m][0] or out[m][1]):
+            out[m] = known
     return [*out.values()]
 
 

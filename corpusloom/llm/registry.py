@@ -1,6 +1,6 @@
 """Queries of this subpackage and their SQL."""
 
-from corpusloom.llm import boilerplate, charset, language, neardup, residue, survivor
+from corpusloom.llm import boilerplate, charset, language, neardup, residue, survivor, tokens
 
-QUERIES = {"p5_found": language.p5_found, "p5_segments": language.p5_segments, "p7_found": neardup.p7_found, "p7_groups": neardup.p7_groups, "p4_found": boilerplate.p4_found, "p4_article": boilerplate.p4_article, "p1_found": residue.p1_found, "p2_found": charset.p2_found, "p2_repaired": charset.p2_repaired, "p3_found": survivor.p3_found, "p3_record": survivor.p3_record}
+QUERIES = {"p8_ids": tokens.p8_ids, "p5_found": language.p5_found, "p5_segments": language.p5_segments, "p7_found": neardup.p7_found, "p7_groups": neardup.p7_groups, "p4_found": boilerplate.p4_found, "p4_article": boilerplate.p4_article, "p1_found": residue.p1_found, "p2_found": charset.p2_found, "p2_repaired": charset.p2_repaired, "p3_found": survivor.p3_found, "p3_record": survivor.p3_record}
 SQL: dict[str, str] = {**survivor.SQL}

@@ -72,8 +72,15 @@ def _words(text: str) -> list[str]:
 
 
 def _contexts(word: str) -> list[tuple[str, str, str]]:
-    framed = f" {word} "
-    return [(framed[i - 1], framed[i], framed[i + 1]) for i in (m.start() for m in _MODELLED.finditer(framed))]
+    """(before, character, after) of each modelled character; beside a mark at a word's edge any letter will do."""
+    framed, out = f" {word} ", []
+    for m in _MODELLED.finditer(framed):
+        i = m.start()
+        before, c, after = framed[i - 1 : i + 2]
+        if not c.isalpha() and not (before.isalpha() and after.isalpha()):
+            before, after = "a" if before.isalpha() else before, "a" if after.isalpha() else after
+        out.append((before, c, after))
+    return out
 
 
 def count_contexts(texts: DataFrame) -> DataFrame:
@@ -203,7 +210,7 @@ class Plausibility:
             for line in text.split("\n"):
                 here = {*_words(line)}
                 if found := here & doubtful.keys():
-                    if len(found) >= len(here - found - gains.keys()):
+                    if len(found) > len(here - found - gains.keys()):
                         gains |= {w: doubtful[w][0] for w in found}
         if gains:
             pattern = re.compile("|".join(map(re.escape, sorted(gains, key=len, reverse=True))))
@@ -349,17 +356,29 @@ def garbled_page(model: Plausibility, content: bytes, charset: str | None) -> tu
     """The text of a page as it was written, mended, and whether it is a case."""
     text, _ = model.read(content)
     read = strict(content, charset)
-    bare = text if "&" not in text else html.unescape(text)
-    mended, garbled = model.mend(bare)
-    return (mended if garbled else text), garbled or read != text
+    mended, garbled = model.mend(resolved(text))
+    return mended, garbled or read != text
 
 
-def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None, mend: bool | str = True) -> DataFrame:
+_REFERENCE = re.compile(r"&(?:#[0-9]{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z][A-Za-z0-9]{1,30});")
+
+
+def resolved(source: str) -> str:
+    """A page's source with the character references outside ASCII read; markup stays as it is,
+    and so does the number of lines."""
+
+    def read(m: re.Match) -> str:
+        c = html.unescape(m.group())
+        return m.group() if c.isascii() or c.isspace() else c
+
+    return _REFERENCE.sub(read, source) if "&" in source else source
+
+
+def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None) -> DataFrame:
     """Every release and every HTML page with its text as written and mended.
 
     ``work(rel, text)`` may map a record's text to a list of tuples for ``columns``, so that
-    later operators run in the same pass over the bytes and texts don't travel. ``mend``
-    may be "releases": pages are then read by their true charset but not mended.
+    later operators run in the same pass over the bytes and texts don't travel.
     """
     model = model or spark.sparkContext.broadcast(learn(spark, sf_dir))
     work = work or (lambda rel, text, garbled: [(text, garbled)])
@@ -375,7 +394,7 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
             rows = []
             for key, source, body in zip(batch["id"], batch["source"], batch["body"]):
                 if isinstance(body, str):
-                    text, garbled = m.mend(body) if mend else (body, False)
+                    text, garbled = m.mend(body)
                     rows += [("releases", str(key), source, *x) for x in work("releases", text, garbled)]
             yield out(rows)
 
@@ -385,7 +404,7 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
             rows = []
             for key, kind, charset, content in zip(batch["url"], batch["id_content_type"], batch["fw_guessed_charset"], batch["content"]):
                 if content is not None and is_html(content, kind):
-                    text, garbled = garbled_page(m, content, charset) if mend is True else (m.read(content)[0], False)
+                    text, garbled = garbled_page(m, content, charset)
                     rows += [("page_cache", key, None, *x) for x in work("page_cache", text, garbled)]
             yield out(rows)
 

@@ -202,9 +202,15 @@ def p5_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, lang): languages of passages that the source's label doesn't name."""
-    plausibility = spark.sparkContext.broadcast(charset.learn(spark, sf_dir))
-    residue = residue_records(spark, sf_dir, plausibility).filter("rel = 'releases'").select(F.col("rec_key").cast("long").alias("id"))
+    model = spark.sparkContext.broadcast(fit(spark, sf_dir))
+
+    def also(rel: str, text: str) -> str | None:
+        if rel != "releases":
+            return None
+        return ",".join(sorted({lang for a, b, lang, _ in segments(model.value, text) if b - a >= PASSAGE})) or None
+
+    residue, passages = residue_records(spark, sf_dir, also=also)
+    passages = passages.join(residue, ["rel", "rec_key"], "left_anti")
     tags = table(spark, sf_dir, "source_tags").groupBy("source").agg(F.max(F.lower("lang")).alias("labelled"))
-    passages = release_segments(spark, sf_dir, plausibility).filter(F.col("s_end") - F.col("s_start") >= PASSAGE)
-    other = passages.join(tags, "source", "left").filter("labelled IS NULL OR lang <> labelled")
-    return other.select("id", "lang").distinct().join(residue, "id", "left_anti")
+    other = passages.withColumn("lang", F.explode(F.split("other", ","))).join(tags, "source", "left").filter("labelled IS NULL OR lang <> labelled")
+    return other.select(F.col("rec_key").cast("long").alias("id"), "lang").distinct()

@@ -213,8 +213,10 @@ def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
 def with_simhash(rows: DataFrame) -> DataFrame:
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = batch["masked"].tolist()
-            yield batch.assign(h=np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64), simhash=simhashes(texts))
+            texts = [t if isinstance(t, str) else "" for t in batch["masked"]]
+            distinct = dict.fromkeys(texts)
+            distinct = dict(zip(distinct, simhashes([*distinct]).tolist()))
+            yield batch.assign(h=np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64), simhash=np.array([distinct[t] for t in texts], np.int64))
 
     return rows.mapInPandas(add, T.StructType([*rows.schema.fields, T.StructField("h", T.LongType()), T.StructField("simhash", T.LongType())]))
 
@@ -245,19 +247,27 @@ def spread_labels(passage: DataFrame, seeds: DataFrame) -> DataFrame:
         frontier = new
 
 
-def residue_records(spark: SparkSession, sf_dir: str, model=None) -> DataFrame:
-    """(rel, rec_key) of the records to leave out."""
-    rows = read_records(spark, sf_dir, model, columns="seed boolean, in_use boolean, masked string", work=_work)
-    rows = written(with_simhash(rows.select("rel", "rec_key", "seed", "in_use", "masked")), "residue-passages")
+def residue_records(spark: SparkSession, sf_dir: str, model=None, also=None) -> tuple[DataFrame, DataFrame]:
+    """(rel, rec_key) of the records to leave out, and (rel, rec_key, source, other) of what
+    ``also(rel, text)``, a function to a string or None, made of each record in the same pass."""
+
+    def work(rel: str, text: str, garbled: bool) -> list[tuple]:
+        rows = [(*x, None) for x in _work(rel, text, garbled)]
+        return rows if also is None or (other := also(rel, text)) is None else [*rows, (None, None, None, other)]
+
+    rows = read_records(spark, sf_dir, model, columns="seed boolean, in_use boolean, masked string, other string", work=work)
+    every = written(with_simhash(rows), "residue-passages")
+    others = every.filter("other IS NOT NULL").select("rel", "rec_key", "source", "other")
+    rows = every.filter("masked IS NOT NULL")
     distinct = rows.groupBy("h").agg(F.first("simhash").alias("simhash"), F.first("masked").alias("masked"), F.max("seed").alias("seed"))
     distinct = written(distinct, "residue-distinct")
     seeds = distinct.filter("seed").select("h", "simhash", "masked")
     labelled = spread_labels(distinct.filter("NOT seed").select("h", "simhash", "masked"), seeds)
     direct = rows.filter("seed OR in_use").select("rel", "rec_key")
     spread = rows.filter("NOT seed").select("rel", "rec_key", "h").join(labelled, "h", "left_semi").select("rel", "rec_key")
-    return direct.unionByName(spread).distinct()
+    return direct.unionByName(spread).distinct(), others
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel, rec_key) of the records that hold or are residue."""
-    return residue_records(spark, sf_dir)
+    return residue_records(spark, sf_dir)[0]

@@ -1,6 +1,7 @@
 """Queries of the core and their SQL."""
 
 from corpusloom.operators import timestamps
+from corpusloom.plans import catalog
 
-QUERIES = {"p6_found": timestamps.p6_found}
-SQL: dict[str, str] = {}
+QUERIES = {**catalog.QUERIES, "p6_found": timestamps.p6_found}
+SQL: dict[str, str] = {**catalog.SQL}

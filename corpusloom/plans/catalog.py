@@ -485,3 +485,85 @@ def fts_top_matches(spark, d):
 def fts_agreement(spark, d):
     rows = releases(spark, d)
     return fts.missing(fts.postings(rows), rows).agg(F.count("*").alias("missing"))
+
+
+# -- extraction, repair, gates, flows -----------------------------------------------------
+
+
+@query()
+def decode_pages(spark, d):
+    from corpusloom.functions.decode import decode_html
+
+    cache = table(spark, d, "page_cache").filter(pages.kind_of() == "html")
+    return cache.select("url", F.md5(decode_html()).alias("md5"))
+
+
+@query()
+def repair_counts(spark, d):
+    from corpusloom.functions.decode import repair
+
+    rows = releases(spark, d).filter(flags.damaged()).select(repair().alias("r"))
+    return rows.groupBy(F.col("r.method").alias("method")).agg(F.count("*").alias("n"))
+
+
+@query()
+def encoding_report(spark, d):
+    from corpusloom.plans.pipeline import encoding_report as run
+
+    return run(releases(spark, d))
+
+
+@query()
+def extract_pages(spark, d):
+    from corpusloom.plans.pipeline import extracted_pages
+
+    return extracted_pages(table(spark, d, "page_cache")).select("url", F.length("body").alias("body_len"), F.length("body_html").alias("html_len"))
+
+
+@query()
+def verify_body_origin(spark, d):
+    from corpusloom.plans.pipeline import verify_origins
+
+    rows = verify_origins(releases(spark, d), origins(spark, d), table(spark, d, "page_cache"))
+    return rows.groupBy("origin_class", "verdict").agg(F.count("*").alias("n"))
+
+
+@query()
+def catch_up(spark, d):
+    from corpusloom.plans.pipeline import catch_up as run
+
+    return run(releases(spark, d), table(spark, d, "page_cache")).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query()
+def retext(spark, d):
+    from corpusloom.plans.pipeline import retext as run
+
+    return run(releases(spark, d)).select("id", F.length("body").alias("body_len"))
+
+
+@query()
+def gates_between_arrivals(spark, d):
+    """Why the shortest text of a title may be replaced by the longest."""
+    from corpusloom.operators.gates import safe_to_write
+
+    texts = releases(spark, d).filter("title <> '' AND body <> ''")
+    size = F.struct(F.length("body"), "id")
+    pairs = texts.groupBy("title").agg(F.min_by("body", size).alias("old"), F.max_by("body", size).alias("new")).filter("old <> new")
+    return pairs.select(safe_to_write("old", "new").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT time_bucket(INTERVAL '15 minutes', to_timestamp(ts)::TIMESTAMP) AS start, kind, count(*) AS n, count(CASE WHEN outcome <> 'ok' THEN 1 END) AS failed, round(avg(duration), 6) AS mean FROM (SELECT DISTINCT * FROM wayback_calls) WHERE ts IS NOT NULL GROUP BY 1, 2")
+def calls_by_window(spark, d):
+    from corpusloom.streaming.calls import by_window, timed
+
+    return by_window(timed(calls(spark, d)).filter("at IS NOT NULL"))
+
+
+@query("""WITH c AS (SELECT kind, ts, lag(ts) OVER (PARTITION BY kind ORDER BY ts) AS p FROM (SELECT DISTINCT * FROM wayback_calls) WHERE ts IS NOT NULL),
+ g AS (SELECT kind, ts, sum(CASE WHEN p IS NULL OR ts - p >= 600 THEN 1 ELSE 0 END) OVER (PARTITION BY kind ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM c)
+ SELECT kind, count(*) AS n FROM g GROUP BY kind, s""")
+def call_sessions(spark, d):
+    from corpusloom.streaming.calls import sessions, timed
+
+    return sessions(timed(calls(spark, d)).filter("at IS NOT NULL")).select("kind", "n")

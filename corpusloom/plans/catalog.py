@@ -422,7 +422,8 @@ def origin_clear(spark, d):
 
 @query("SELECT url, origin_url FROM body_origin")
 def origin_record(spark, d):
-    return merge.record_origins(origins(spark, d), origins(spark, d).withColumn("ord", F.lit(1)))
+    rows = origins(spark, d).filter(address.is_capture("origin_url"))
+    return merge.record_origins(origins(spark, d), rows.withColumn("ord", F.lit(1)))
 
 
 # -- full text ----------------------------------------------------------------------------
@@ -561,7 +562,7 @@ def calls_by_window(spark, d):
 
 
 @query("""WITH c AS (SELECT kind, ts, lag(ts) OVER (PARTITION BY kind ORDER BY ts) AS p FROM (SELECT DISTINCT * FROM wayback_calls) WHERE ts IS NOT NULL),
- g AS (SELECT kind, ts, sum(CASE WHEN p IS NULL OR ts - p >= 600 THEN 1 ELSE 0 END) OVER (PARTITION BY kind ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM c)
+ g AS (SELECT kind, ts, sum(CASE WHEN p IS NULL OR ts - p > 600 THEN 1 ELSE 0 END) OVER (PARTITION BY kind ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM c)
  SELECT kind, count(*) AS n FROM g GROUP BY kind, s""")
 def call_sessions(spark, d):
     from corpusloom.streaming.calls import sessions, timed

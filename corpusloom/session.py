@@ -9,10 +9,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.schema import COLUMNS
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the parquet tables under ``sf_dir`` (a file or a folder of parts)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the parquet tables under ``sf_dir`` (a file or a folder of parts), with the
+    columns the corpus knows; others can't clash with what operators add."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.select(COLUMNS[name].split()) if name in COLUMNS else rows
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -31,7 +31,7 @@ def by_window(calls: DataFrame) -> DataFrame:
 
 
 def sessions(calls: DataFrame) -> DataFrame:
-    """Bursts of calls: runs of one kind with less than GAP between."""
+    """Bursts of calls: runs of one kind with at most GAP between."""
     return calls.groupBy(F.session_window("at", GAP).alias("w"), "kind").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "kind", "n")
 
 

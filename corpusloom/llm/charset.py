@@ -106,7 +106,8 @@ def count_contexts(texts: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"context": list(total), "n": list(total.values())})
                 total.clear()
         flush()
-        yield pd.DataFrame({"context": list(total), "n": list(total.values())})
+        if total:
+            yield pd.DataFrame({"context": list(total), "n": list(total.values())})
 
     return texts.mapInPandas(counts, "context string, n long").groupBy("context").agg(F.sum("n").alias("n"))
 
@@ -374,19 +375,22 @@ def resolved(source: str) -> str:
     return _REFERENCE.sub(read, source) if "&" in source else source
 
 
-def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None) -> DataFrame:
+def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None, finish=None) -> DataFrame:
     """Every release and every HTML page with its text as written and mended.
 
     ``work(rel, text)`` may map a record's text to a list of tuples for ``columns``, so that
-    later operators run in the same pass over the bytes and texts don't travel.
+    later operators run in the same pass over the bytes and texts don't travel. ``finish``
+    may add columns to a batch of those rows; it names them in its attribute ``columns``.
     """
     model = model or spark.sparkContext.broadcast(learn(spark, sf_dir))
     work = work or (lambda rel, text, garbled: [(text, garbled)])
-    schema = f"rel string, rec_key string, source string, {columns}"
+    schema = f"rel string, rec_key string, source string, {columns}" + (f", {finish.columns}" if finish else "")
+    added = len(finish.columns.split(",")) if finish else 0
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
 
     def out(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=names)
+        made = pd.DataFrame(rows, columns=names[: len(names) - added])
+        return made if finish is None else finish(made)
 
     def releases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model.value
@@ -396,7 +400,8 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
                 if isinstance(body, str):
                     text, garbled = m.mend(body)
                     rows += [("releases", str(key), source, *x) for x in work("releases", text, garbled)]
-            yield out(rows)
+            if rows:
+                yield out(rows)
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model.value
@@ -406,7 +411,8 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
                 if content is not None and is_html(content, kind):
                     text, garbled = garbled_page(m, content, charset)
                     rows += [("page_cache", key, None, *x) for x in work("page_cache", text, garbled)]
-            yield out(rows)
+            if rows:
+                yield out(rows)
 
     a = spread(table(spark, sf_dir, "releases").select("id", "source", "body")).mapInPandas(releases, schema)
     b = spread(table(spark, sf_dir, "page_cache").select("url", "id_content_type", "fw_guessed_charset", "content")).mapInPandas(pages, schema)

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -210,15 +209,15 @@ def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
     return [*out.values()]
 
 
-def with_simhash(rows: DataFrame) -> DataFrame:
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["masked"]]
-            distinct = dict.fromkeys(texts)
-            distinct = dict(zip(distinct, simhashes([*distinct]).tolist()))
-            yield batch.assign(h=np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64), simhash=np.array([distinct[t] for t in texts], np.int64))
+def add_hashes(batch: pd.DataFrame) -> pd.DataFrame:
+    """A batch of passages with the hash and the SimHash of their masked texts."""
+    texts = [t if isinstance(t, str) else "" for t in batch["masked"]]
+    distinct = dict.fromkeys(texts)
+    distinct = dict(zip(distinct, simhashes([*distinct]).tolist()))
+    return batch.assign(h=np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64), simhash=np.array([distinct[t] for t in texts], np.int64))
 
-    return rows.mapInPandas(add, T.StructType([*rows.schema.fields, T.StructField("h", T.LongType()), T.StructField("simhash", T.LongType())]))
+
+add_hashes.columns = "h long, simhash long"
 
 
 def _blocks(df: DataFrame) -> DataFrame:
@@ -255,8 +254,8 @@ def residue_records(spark: SparkSession, sf_dir: str, model=None, also=None) ->
         rows = [(*x, None) for x in _work(rel, text, garbled)]
         return rows if also is None or (other := also(rel, text)) is None else [*rows, (None, None, None, other)]
 
-    rows = read_records(spark, sf_dir, model, columns="seed boolean, in_use boolean, masked string, other string", work=work)
-    every = written(with_simhash(rows), "residue-passages")
+    rows = read_records(spark, sf_dir, model, columns="seed boolean, in_use boolean, masked string, other string", work=work, finish=add_hashes)
+    every = written(rows, "residue-passages")
     others = every.filter("other IS NOT NULL").select("rel", "rec_key", "source", "other")
     rows = every.filter("masked IS NOT NULL")
     distinct = rows.groupBy("h").agg(F.first("simhash").alias("simhash"), F.first("masked").alias("masked"), F.max("seed").alias("seed"))

@@ -124,7 +124,8 @@ def count_seeds(documents: DataFrame, seeds) -> dict[str, int]:
             for text in batch["text"]:
                 if isinstance(text, str) and text:
                     total.update(s for _, s in hits(automata, _views(text)))
-        yield pd.DataFrame({"seed": list(total), "n": list(total.values())})
+        if total:
+            yield pd.DataFrame({"seed": list(total), "n": list(total.values())})
 
     counted = documents.select("text").mapInPandas(work, "seed string, n long").groupBy("seed").agg(F.sum("n").alias("n"))
     return {r["seed"]: r["n"] for r in counted.collect()}
@@ -161,7 +162,8 @@ def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
                         places[item_id].append((seed[0] == " " == seed[-1], end))
                 for item_id, ends in places.items():
                     out.append((doc_id, item_id, *judge(items[item_id], views, ends)))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "score", "share", "exact"])
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "item_id", "score", "share", "exact"])
 
     return documents.mapInPandas(work, "doc_id long, item_id long, score int, share double, exact boolean")
 

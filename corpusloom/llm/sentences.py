@@ -221,6 +221,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ids.append(doc_id)
                         starts.append(a)
                         ends.append(b)
-            yield pd.DataFrame({"doc_id": ids, "s_start": starts, "s_end": ends})
+            if ids:
+                yield pd.DataFrame({"doc_id": ids, "s_start": starts, "s_end": ends})
 
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).mapInPandas(work, "doc_id long, s_start int, s_end int")

@@ -44,22 +44,32 @@ _WORDS = re.compile(r"[^\W\d_]+")
 
 
 def trigrams(text: str) -> np.ndarray:
-    """Buckets of the text's character trigrams, words set off by single blanks.
+    """Buckets of the text's character trigrams, words set off by single blanks."""
+    return many_trigrams([text])[0]
+
+
+def many_trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigrams of all texts, and where each text's begin.
 
     Capitalised words are mostly names, which belong to no language, and are left out
     unless little else remains.
     """
-    words = _WORDS.findall(text)
-    plain = [w for w in words if w.islower()]
-    if sum(map(len, plain)) < 12:
-        plain = [w.lower() for w in words]
-    clean = f" {' '.join(plain)} "
-    codes = np.frombuffer(clean.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    if len(codes) < 4:
-        return np.zeros(0, np.int64)
+    cleaned = []
+    for text in texts:
+        words = _WORDS.findall(text)
+        plain = " ".join([w for w in words if w.islower()])
+        if len(plain) < 14:
+            plain = " ".join(words).lower()
+        cleaned.append(f" {plain} " if plain else "")
+    codes = np.frombuffer("\0".join(cleaned).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    if len(codes) < 3:
+        return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
     mixed = (codes[:-2] * np.uint64(0x9E3779B1) + codes[1:-1]) * np.uint64(0x85EBCA77) + codes[2:]
     mixed = (mixed ^ (mixed >> np.uint64(23))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (mixed >> np.uint64(50)).astype(np.int64)
+    apart = codes == 0
+    whole = ~(apart[:-2] | apart[1:-1] | apart[2:])
+    of = np.cumsum(apart)[:-2][whole]
+    return (mixed[whole] >> np.uint64(50)).astype(np.int64), np.searchsorted(of, np.arange(len(texts)))
 
 
 class Centroids:
@@ -138,23 +148,23 @@ def segments(model: Centroids, text: str) -> list[tuple[int, int, str, float]]:
     spans = sentences(text)
     if not spans or not model.languages:
         return []
-    grams = [trigrams(text[a:b]) for a, b in spans]
-    starts = np.cumsum([0, *map(len, grams)])[:-1]
-    cos = model.cosines(np.concatenate(grams), starts)
-    sizes = np.array(list(map(len, grams)), np.float32)
+    grams, starts = many_trigrams([text[a:b] for a, b in spans])
+    cos = model.cosines(grams, starts)
+    sizes = np.diff(np.append(starts, len(grams))).astype(np.float32)
     known = cos.max(axis=1) >= NEAR
     evidence = WEIGHT * np.log((cos + 0.03) / (cos.max(axis=1, keepdims=True) + 0.03)) * np.sqrt(sizes)[:, None] * known[:, None]
     if not known.any():
         return []
-    n, k = evidence.shape
-    best, back = evidence[0], np.zeros((n, k), np.int64)
-    for i in range(1, n):
-        stay, move = best, best.max() - CHANGE
-        back[i] = np.where(stay >= move, np.arange(k), int(best.argmax()))
-        best = np.maximum(stay, move) + evidence[i]
-    path = [int(best.argmax())]
-    for i in range(n - 1, 0, -1):
-        path.append(int(back[i][path[-1]]))
+    steps = evidence.tolist()
+    best, back = steps[0], []
+    for step in steps[1:]:
+        top = max(best)
+        at, move = best.index(top), top - CHANGE
+        back.append([j if x >= move else at for j, x in enumerate(best)])
+        best = [max(x, move) + e for x, e in zip(best, step)]
+    path = [best.index(max(best))]
+    for came in reversed(back):
+        path.append(came[path[-1]])
     path.reverse()
     share = np.exp(8 * (cos - cos.max(axis=1, keepdims=True)))
     share /= share.sum(axis=1, keepdims=True)
@@ -189,7 +199,8 @@ def release_segments(spark: SparkSession, sf_dir: str, plausibility=None) -> Dat
             for key, source, body in zip(batch["id"], batch["source"], batch["body"]):
                 if isinstance(body, str):
                     rows += [(key, source, *x) for x in segments(model.value, plausibility.value.mend(body)[0])]
-            yield pd.DataFrame(rows, columns=["id", "source", "s_start", "s_end", "lang", "confidence"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "source", "s_start", "s_end", "lang", "confidence"])
 
     bodies = spread(table(spark, sf_dir, "releases").select("id", "source", "body"))
     return bodies.mapInPandas(work, "id long, source string, s_start int, s_end int, lang string, confidence double")

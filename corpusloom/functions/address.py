@@ -15,7 +15,8 @@ def is_capture(url) -> Column:
 
 
 def is_timestamp(text) -> Column:
-    return F.coalesce(F.col(text).rlike(r"^[0-9]{14}$"), F.lit(False))
+    text = F.col(text) if isinstance(text, str) else text
+    return F.coalesce(text.rlike(r"^[0-9]{14}$"), F.lit(False))
 
 
 def capture_url(timestamp: Column, page: Column, archive: str = ARCHIVE) -> Column:

@@ -568,3 +568,69 @@ def call_sessions(spark, d):
     from corpusloom.streaming.calls import sessions, timed
 
     return sessions(timed(calls(spark, d)).filter("at IS NOT NULL")).select("kind", "n")
+
+
+# -- further joins, cursors and stores ----------------------------------------------------
+
+
+@query("SELECT source, count(*) AS total FROM releases GROUP BY source")
+def source_total(spark, d):
+    return releases(spark, d).groupBy("source").agg(F.count("*").alias("total"))
+
+
+@query("SELECT DISTINCT c.url FROM page_cache c WHERE EXISTS (SELECT 1 FROM releases r WHERE r.url = CASE WHEN strpos(c.url, 'id_/') > 0 THEN substr(c.url, strpos(c.url, 'id_/') + 4) ELSE c.url END)")
+def already_stored(spark, d):
+    page = F.coalesce(address.page_of("url"), F.col("url")).alias("page")
+    return table(spark, d, "page_cache").select("url", page).join(releases(spark, d).select(F.col("url").alias("page")), "page", "left_semi").select("url").distinct()
+
+
+@query("SELECT l.url, r.grade, length(coalesce(r.body, '')) AS body_len FROM (SELECT DISTINCT url FROM terratec_early__listing_1 WHERE url IS NOT NULL) l LEFT JOIN (SELECT url, arg_max(grade, id) AS grade, arg_max(coalesce(body, ''), id) AS body FROM releases WHERE url IS NOT NULL GROUP BY url) r ON l.url = r.url")
+def stored_state(spark, d):
+    stored = releases(spark, d).filter("url IS NOT NULL").groupBy("url").agg(F.max_by("grade", "id").alias("grade"), F.max_by(flags.size(), "id").alias("size"))
+    listed = table(spark, d, "terratec_early__listing_1").filter("url IS NOT NULL").select("url").distinct()
+    return listed.join(stored, "url", "left").select("url", "grade", F.coalesce("size", F.lit(0)).alias("body_len"))
+
+
+@query("SELECT id, source FROM releases WHERE body_html IS NULL ORDER BY id LIMIT 100")
+def pending(spark, d):
+    return releases(spark, d).filter("body_html IS NULL").select("id", "source").orderBy("id").limit(100)
+
+
+@query("SELECT coalesce(a.name, b.name) AS name, coalesce(a.url, b.url) AS url, coalesce(b.title, a.title) AS title FROM (SELECT lower(regexp_extract(url, '[^/]*$')) AS name, max(url) AS url, max(title) AS title FROM releases WHERE url IS NOT NULL GROUP BY 1) a FULL JOIN (SELECT lower(regexp_extract(url, '[^/]*$')) AS name, max(url) AS url, max(title) AS title FROM terratec_early__listing_1 WHERE url IS NOT NULL GROUP BY 1) b ON a.name = b.name")
+def join_merge_channels(spark, d):
+    side = lambda df, p: df.filter("url IS NOT NULL").groupBy(address.base_name("url").alias("name")).agg(F.max("url").alias(f"{p}url"), F.max("title").alias(f"{p}title"))
+    both = side(releases(spark, d), "a_").join(side(table(spark, d, "terratec_early__listing_1"), "b_"), "name", "full")
+    return both.select("name", F.coalesce("a_url", "b_url").alias("url"), F.coalesce("b_title", "a_title").alias("title"))
+
+
+@query("SELECT lower(regexp_extract(url, '[^/]*$')) AS name, arg_max(url, (CASE WHEN hex(content) LIKE '25504446%' THEN '1' ELSE '0' END) || url) AS page, count(*) AS copies FROM page_cache WHERE url IS NOT NULL GROUP BY 1")
+def group_attachments(spark, d):
+    cache = table(spark, d, "page_cache").filter("url IS NOT NULL")
+    best = F.struct((pages.kind_of() == "pdf").alias("real"), F.col("url").alias("u"))
+    return cache.groupBy(address.base_name("url").alias("name")).agg(F.max(best).alias("b"), F.count("*").alias("copies")).select("name", F.col("b.u").alias("page"), "copies")
+
+
+@query("SELECT url, arg_min(citation, length(coalesce(body, '')) * -1) IS NOT NULL AS cited, max(length(coalesce(body, ''))) AS body_len FROM terratec_early__listing_1 WHERE url IS NOT NULL GROUP BY url".replace("arg_min(citation, length(coalesce(body, '')) * -1) IS NOT NULL", "count(citation) > 0"))
+def collector_longest(spark, d):
+    return table(spark, d, "terratec_early__listing_1").filter("url IS NOT NULL").groupBy("url").agg((F.count("citation") > 0).alias("cited"), F.max(flags.size()).alias("body_len"))
+
+
+@query("SELECT CASE WHEN length(coalesce(body, '')) >= 900 THEN 'long' ELSE 'short' END AS part, count(*) AS n FROM releases GROUP BY 1")
+def only_short(spark, d):
+    return releases(spark, d).groupBy(F.when(flags.size() >= 900, "long").otherwise("short").alias("part")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT source, min(date) AS first, max(date) AS last FROM releases WHERE date <> '' GROUP BY source ORDER BY first, last, source LIMIT 200")
+def sort_sources_chrono(spark, d):
+    return releases(spark, d).filter("date <> ''").groupBy("source").agg(F.min("date").alias("first"), F.max("date").alias("last")).orderBy("first", "last", "source").limit(corpus.PAGE_MOST)
+
+
+@query("SELECT id, regexp_matches(coalesce(detail_id, ''), '^[0-9]{14}$') AS is_stamp, coalesce(regexp_matches(lower(regexp_extract(url, '^[^?]*')), '\\.(pdf|doc)$'), false) AS is_attachment FROM releases")
+def url_predicates(spark, d):
+    attachment = F.coalesce(F.lower(F.regexp_extract("url", "^[^?]*", 0)).rlike(r"\.(pdf|doc)$"), F.lit(False))
+    return releases(spark, d).select("id", address.is_timestamp(F.coalesce("detail_id", F.lit(""))).alias("is_stamp"), attachment.alias("is_attachment"))
+
+
+@query("SELECT count(*) AS wrong FROM body_origin WHERE NOT regexp_matches(origin_url, '^https?://[^/]+/web/\\d{14}id_/.')")
+def bad_origins(spark, d):
+    return origins(spark, d).filter(F.col("origin_url").isNotNull() & ~address.is_capture("origin_url")).agg(F.count("*").alias("wrong"))

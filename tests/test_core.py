@@ -29,8 +29,8 @@ def test_sql_names_are_queries():
 
 # full text against a second engine
 
-TEXTS = ["the noise gate opens", "a gate for noise, the gate", "Zürich: garantía de por vida", "noise", "gate gate gate noise", "nymo nyro other words here", "the the the", "M-Audio ships"]
-EXPRESSIONS = ["gate", "noise gate", '"noise gate"', "noise AND gate", "noise OR garantia", "gate NOT opens", "ny*", "zurich", "body:gate", "the NOT noise", "(noise OR words) AND gate", "^noise", "noise + gate", "NEAR(noise gate, 1)", "{title body}: gate", "M-Audio", "a AND", '"', "-a", "gate AND noise NOT opens", "title:gate"]
+TEXTS = ["the noise gate opens", "a gate for noise, the gate", "Zürich: garantía de por vida", "noise", "gate gate gate noise", "nymo nyro other words here", "the the the", "X-Audio ships"]
+EXPRESSIONS = ["gate", "noise gate", '"noise gate"', "noise AND gate", "noise OR garantia", "gate NOT opens", "ny*", "zurich", "body:gate", "the NOT noise", "(noise OR words) AND gate", "^noise", "noise + gate", "NEAR(noise gate, 1)", "{title body}: gate", "X-Audio", "a AND", '"', "-a", "gate AND noise NOT opens", "title:gate"]
 
 
 @pytest.fixture(scope="module")

@@ -199,3 +199,21 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, score, share, exact) of exact, edited and paraphrased copies."""
     return leaks(spark, sf_dir).filter(F.col("exact") | (F.col("share") >= EDITED)).dropDuplicates(["doc_id", "item_id"])
+
+
+def _runs_sql(key: str, name: str) -> str:
+    words = "regexp_extract_all(lower(nfc_normalize(text)), '[\\p{L}\\p{N}]+')"
+    return f"SELECT DISTINCT {key}, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT {key}, w, unnest(range(1, len(w) - 11)) AS i FROM (SELECT {key}, {words} AS w FROM {name} WHERE text IS NOT NULL))"
+
+
+def _pieces_sql(key: str, name: str, where: str) -> str:
+    return f"SELECT DISTINCT {key}, substr(t, i, 30) AS g FROM (SELECT {key}, t, unnest(range(1, length(t) - 28)) AS i FROM (SELECT {key}, nfc_normalize(text) AS t FROM {name} WHERE text IS NOT NULL AND {where}))"
+
+
+_OTHER = "regexp_matches(text, '[^\\x00-\\x7F]')"
+_LANGS = "lang IN ('ja', 'zh')"
+SQL = {
+    "p9_found": f"""WITH d AS ({_runs_sql("doc_id", "documents")}), e AS ({_runs_sql("item_id", "eval_items")}),
+ dc AS ({_pieces_sql("doc_id", "documents", _OTHER)}), ec AS ({_pieces_sql("item_id", "eval_items", _LANGS)})
+ SELECT doc_id, item_id FROM d JOIN e ON d.g = e.g UNION SELECT doc_id, item_id FROM dc JOIN ec ON dc.g = ec.g""",
+}

@@ -125,6 +125,9 @@ class Plausibility:
             share = n * 1e6 / total
             for to, k in ((self.three, key), (self.left, key[:2]), (self.right, key[1:]), (self.one, key[1])):
                 to[k] = to.get(k, 0) + share
+        #: The least that a character can cost, wherever it stands.
+        self.floor = {c: math.log2(1e6 / (1.0303 * share + 0.02)) for c, share in self.one.items()}
+        self.floor = {c: min(bits, 1.5 + self.floor.get(c.lower(), 25.5)) for c, bits in self.floor.items()}
         self._words: dict[str, float] = {}
         self._odd: dict[str, bool] = {}
         self._repairs: dict[str, tuple[str, float, tuple[str, ...]]] = {}
@@ -151,6 +154,14 @@ class Plausibility:
             self._words[word] = cost
         return cost
 
+    def least(self, word: str) -> float:
+        """A bound from below of a word's cost."""
+        floor, total = self.floor, 0.0
+        for c in word:
+            if c > "\x7f":
+                total += floor.get(c) or (1.5 + floor.get(c.lower(), 20.0) if c.isupper() else 22.0)
+        return total
+
     def odd(self, word: str) -> bool:
         """True if the word is worth a search."""
         if (odd := self._odd.get(word)) is None:
@@ -181,6 +192,8 @@ class Plausibility:
                 if (h := hash(reached)) in seen:
                     continue
                 seen.add(h)
+                if not _multibyte(step) and paid + price + self.least(reached) >= best[0]:
+                    continue  # can't be the cheapest, and nothing follows it
                 child = self.word(reached) + paid + price
                 if child < best[0]:
                     best = (child, reached, (*steps, step))

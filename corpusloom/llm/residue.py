@@ -2,8 +2,9 @@
 
 Every visible passage (line or block) of every record gets a 64-bit SimHash of its masked
 words. Passages that trusted rules know for residue are the seeds. Seeds are joined with
-all passages through partitioned tables (the four 16-bit blocks of the SimHash); what
-meets in a block is verified by Hamming distance and by the Jaccard similarity of its
+all passages through partitioned tables (the four 16-bit blocks of the SimHash), where a
+seed looks up its own blocks and all that differ in one or two bits, so any passage within
+HAMMING bits is met in some block; what meets is verified by Hamming distance and by the Jaccard similarity of its
 five-word runs (0.8 or more). The trusted label then spreads along verified links until no
 passage is new, which labels exactly the connected components that hold a seed, while
 passages far from any seed are never compared with one another.
@@ -31,8 +32,8 @@ from pyspark.sql import types as T
 from corpusloom.llm.charset import read_records
 from corpusloom.session import written
 
-#: Most bits in which verified passages may differ, and least similarity of their word runs.
-HAMMING, SIMILARITY, RUN = 12, 0.8, 5
+#: Most bits in which verified passages may differ (four blocks, three bits each, less one), and least similarity of their word runs.
+HAMMING, SIMILARITY, RUN = 11, 0.8, 5
 
 #: Forms of unfilled placeholders.
 PLACEHOLDER = re.compile(
@@ -99,10 +100,14 @@ LATIN = frozenset(
     "rutrum sagittis scelerisque sem suspendisse tellus tortor tristique ultrices ultricies varius vel vehicula venenatis viverra volutpat".split()
 )
 _WORD = re.compile(r"\w+")
-_MASKS = ((re.compile(r"\b(?:www\.)?[\w-]+\.(?:example|com|org|net|de|fr|es|pl|ru)\b"), "site"), (re.compile(r"(?<![\w<])/[\w./?=&%-]+"), " path "))
-_HEX = re.compile(r"[0-9a-f]*[0-9][0-9a-f]*")
+_HOST = re.compile(r"\.(?:example|com|org|net|de|fr|es|pl|ru)\b")
+_SITE = re.compile(r"\b(?:www\.)?[\w-]+\.(?:example|com|org|net|de|fr|es|pl|ru)\b")
+_PATH = re.compile(r"(?<![\w<])/[\w./?=&%-]+")
+_DIGIT = re.compile(r"[0-9]")
+#: Numbers, and words of six or more hexadecimal digits.
+_NUMBER = re.compile(r"\b(?:\d\w*|[a-f](?=[a-f]*\d)[0-9a-f]{5,}\b)")
 _DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|title|head)\b.*?</\1\s*>|<!doctype[^>]*>")
-_BLOCKS = re.compile(r"(?i)</?(?:p|div|li|ul|ol|td|th|tr|table|h[1-6]|br|hr|body|html|main|article|nav|aside|footer|header|section|form|small|pre|blockquote|dl|dt|dd|a(?=\s[^>]*>\s*[^<]*</a>\s*<br))\b[^>]*>")
+_BLOCKS = re.compile(r"(?i)</?(?:p|div|li|ul|ol|td|th|tr|table|h[1-6]|br|hr|body|html|main|article|nav|aside|footer|header|section|form|small|pre|blockquote|dl|dt|dd)\b[^>]*>")
 _TAGS = re.compile(r"</?[A-Za-z][^>]*>")
 
 
@@ -137,10 +142,13 @@ def trusted(passage: str) -> bool:
 def masked(passage: str) -> str:
     """The passage's words, lower-cased, without what differs from copy to copy."""
     passage = passage.lower()
-    if "." in passage or "/" in passage:
-        for pattern, to in _MASKS:
-            passage = pattern.sub(to, passage)
-    return " ".join(["0" if w[0] in "0123456789" or (len(w) > 5 and not w.isalpha() and _HEX.fullmatch(w)) else w for w in _WORD.findall(passage)])
+    if _HOST.search(passage):
+        passage = _SITE.sub("site", passage)
+    if "/" in passage:
+        passage = _PATH.sub(" path ", passage)
+    if not passage.isascii() or _DIGIT.search(passage):
+        passage = _NUMBER.sub("0", passage)
+    return " ".join(_WORD.findall(passage))
 
 
 _HASHES: dict[str, int] = {}
@@ -226,6 +234,13 @@ def _blocks(df: DataFrame) -> DataFrame:
     return df.withColumn("b", F.explode(block)).select(*df.columns, "b.i", "b.bits")
 
 
+def _probes(blocks: DataFrame) -> DataFrame:
+    """The blocks, and those that differ from them in one or two bits."""
+    masks = sorted({1 << i | 1 << j for i in range(16) for j in range(16)} | {0})
+    flip = F.explode(F.array(*map(F.lit, masks))).alias("flip")
+    return blocks.select("*", flip).withColumn("bits", F.col("bits").bitwiseXOR(F.col("flip").cast("long"))).drop("flip")
+
+
 def spread_labels(passage: DataFrame, seeds: DataFrame) -> DataFrame:
     """h of every passage in a component with a seed.
 
@@ -236,7 +251,7 @@ def spread_labels(passage: DataFrame, seeds: DataFrame) -> DataFrame:
     known = seeds.select("h")
     frontier, found = seeds, None
     while True:
-        near = _blocks(frontier.select(F.col("h").alias("from_h"), F.col("simhash").alias("from_simhash"), "simhash")).drop("simhash")
+        near = _probes(_blocks(frontier.select(F.col("h").alias("from_h"), F.col("simhash").alias("from_simhash"), "simhash")).drop("simhash"))
         pairs = tables.join(near, ["i", "bits"]).filter(F.bit_count(F.col("simhash").bitwiseXOR(F.col("from_simhash"))) <= HAMMING).filter("h <> from_h").select("h", "from_h").distinct()
         new = pairs.join(known, "h", "left_anti").join(passage, "h").join(frontier.select(F.col("h").alias("from_h"), F.col("masked").alias("from_masked")), "from_h")
         new = written(new.filter(similar_udf("masked", "from_masked")).select("h", "simhash", "masked").dropDuplicates(["h"]), "residue-round")

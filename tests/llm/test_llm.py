@@ -222,6 +222,22 @@ def test_a_hot_bucket_is_split_not_capped(spark, tables, monkeypatch):
     assert neardup.p7_found(spark, tables(releases=rows)).count() == 66
 
 
+def test_hot_buckets_lose_no_pair(spark, tables, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT", 2)
+    rng = np.random.default_rng(8)
+    rows, sets = [], {}
+    for k in range(30):  # four edits each, every other one with its halves swapped
+        w = [f"w{i}" for i in range(110)]
+        for i in rng.choice(27, 4, replace=False):
+            w[i * 4 + 2] = f"e{k}n{i}"
+        w = w[55:] + w[:55] if k % 2 else w
+        sets[k + 1] = set(zip(w, w[1:], w[2:]))
+        rows.append({"id": k + 1, "body": " ".join(w)})
+    shares = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in combinations(sets, 2)}
+    assert sum(0.6 <= s <= 0.65 for s in shares.values()) > 100
+    assert {tuple(r) for r in neardup.p7_found(spark, tables(releases=rows)).collect()} == {p for p, s in shares.items() if s >= 0.6}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40) if i != 20], "a long, b long")
     nodes = spark.createDataFrame([(i,) for i in range(1, 42)], "node long")

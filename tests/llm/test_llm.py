@@ -238,6 +238,22 @@ def test_hot_buckets_lose_no_pair(spark, tables, monkeypatch):
     assert {tuple(r) for r in neardup.p7_found(spark, tables(releases=rows)).collect()} == {p for p, s in shares.items() if s >= 0.6}
 
 
+def test_repeats_lose_no_pair(spark, tables):
+    rng = np.random.default_rng(9)
+    rows, expected = [], set()
+    for k in range(40):
+        w = [f"b{k}w{i}" for i in range(100)]
+        again = list(w)
+        for i in rng.choice(24, k % 5, replace=False):
+            again[i * 4 + 2] = f"e{i}"
+        x, y = ({*zip(v, v[1:], v[2:])} for v in (w, again * 4))
+        rows += [{"id": 2 * k, "body": " ".join(w)}, {"id": 2 * k + 1, "body": " ".join(again * 4)}]
+        if len(x & y) >= 0.6 * len(x | y):
+            expected.add((2 * k, 2 * k + 1))
+    assert len(expected) >= 32
+    assert {tuple(r) for r in neardup.p7_found(spark, tables(releases=rows)).collect()} == expected
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40) if i != 20], "a long, b long")
     nodes = spark.createDataFrame([(i,) for i in range(1, 42)], "node long")

@@ -132,11 +132,8 @@ def trusted(passage: str) -> bool:
     low = passage.lower()
     if TRUSTED.match(low):
         return True
-    words = low.split(None, 24)[:24]
-    if sum(w.strip(".,") in LATIN for w in words) < 0.5 * len(words):
-        return False
     words = _WORD.findall(low)
-    return len(words) >= 5 and sum(w in LATIN for w in words) >= 0.8 * len(words)
+    return len(words) >= 5 and sum(map(LATIN.__contains__, words)) >= 0.8 * len(words)
 
 
 def masked(passage: str) -> str:

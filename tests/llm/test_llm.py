@@ -61,6 +61,14 @@ def test_sentences_are_no_residue(text):
     assert not residue.trusted(text)
 
 
+def test_filler_after_a_real_lead(spark, tables):
+    lead = "Our new mixer with twelve channels ships in spring for owners of older models"
+    latin = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore. " * 7
+    assert residue.trusted(f"{lead} {latin}") and not residue.trusted(f"{lead} {lead} {lead} {latin}")
+    d = tables(releases=[{"id": 1, "body": f"{lead} {latin}"}, {"id": 2, "body": ARTICLE}])
+    assert [r["rec_key"] for r in residue.p1_found(spark, d).collect()] == ["1"]
+
+
 def test_labels_spread_along_similar_passages(spark, tables):
     seed = "Service temporarily unavailable: the server is down for planned work today and will be back again after the night shift ends in the morning hours of the next day"
     near = seed.replace("Service temporarily", "Our service is temporarily")

@@ -2,11 +2,13 @@
 
 Rare n-gram seeds: how often each five-word run of the test items comes in the WHOLE
 corpus is counted first; then, of every thirteen-word window of an item, its rarest run is
-kept as a seed, so no thirteen words in a row can be missed. Documents are joined with the
-items by the seeds they hold (one pass of an automaton over each text). Smith-Waterman
-alignment around the seeds scores each pair, which finds edited and paraphrased copies
-too; an exact check for the run asked for follows. Japanese and Chinese have seeds of ten
-characters out of every thirty as well.
+kept as a seed, so no thirteen words in a row can be missed. An edit breaks just the runs
+that the corpus then holds least, so for edited copies every run that the corpus holds is a
+seed. Documents are joined with the items by the seeds they hold (one pass of an automaton
+over each text). Smith-Waterman alignment around the seeds scores each pair, which finds
+edited and paraphrased copies that keep five words in a row somewhere; an exact check for
+the run asked for follows. Japanese and Chinese have seeds of ten characters out of every
+thirty as well.
 
 The items are the one side that is sent to all tasks; its size is checked (MOST_ITEMS).
 
@@ -131,9 +133,10 @@ def count_seeds(documents: DataFrame, seeds) -> dict[str, int]:
     return {r["seed"]: r["n"] for r in counted.collect()}
 
 
-def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def leaks(spark: SparkSession, sf_dir: str, edited: bool = False) -> DataFrame:
     """(doc_id, item_id, score, share, exact): pairs joined by a seed, with their alignment's
-    score, its share of the item's best possible one, and whether the run asked for is there."""
+    score, its share of the item's best possible one, and whether the run asked for is there.
+    Exact copies need one seed a window, ``edited`` ones every run that the corpus holds."""
     rows = table(spark, sf_dir, "eval_items").select("item_id", "lang", "text").filter("text IS NOT NULL").limit(MOST_ITEMS + 1).collect()
     if len(rows) > MOST_ITEMS:
         raise ValueError(f"more than {MOST_ITEMS} items; split the test set and run it in parts")
@@ -143,7 +146,8 @@ def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     of: dict[str, set[int]] = defaultdict(set)
     for item in items.values():
         for window in item.candidates():
-            of[min(window, key=lambda s: (count.get(s, 0), s))].add(item.id)
+            for s in window if edited else [min(window, key=lambda s: (count.get(s, 0), s))]:
+                of[s].add(item.id)
     seeds = {s: sorted(ids) for s, ids in of.items() if count.get(s)}  # what the corpus never holds can't leak
     shared = spark.sparkContext.broadcast((items, seeds))
 
@@ -169,8 +173,9 @@ def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def judge(item: Item, views: tuple[str, str], ends: list[tuple[bool, int]]) -> tuple[int, float, bool]:
-    """Score, share and exactness of an item against the text around its seeds."""
-    exact, score = False, 0
+    """Score, share and exactness of an item against the text around its seeds. Where nothing is
+    exact, a text with too few of the item's words to reach EDITED in any order isn't aligned."""
+    exact, score, texts = False, 0, []
     unit = [*item.text] if item.spaceless else item.words
     for by_words in (True, False):
         view = views[0] if by_words else views[1]
@@ -187,7 +192,11 @@ def judge(item: Item, views: tuple[str, str], ends: list[tuple[bool, int]]) -> t
             else:
                 exact = exact or any(r in around for r in item.character_runs)
             if not item.spaceless or not by_words:
-                score = max(score, align(unit, around.split() if by_words else [*around]))
+                texts.append(around.split() if by_words else [*around])
+    own, least = Counter(unit), (EDITED - 1e-4) * len(unit)
+    for other in texts:
+        if exact or sum((own & Counter(other)).values()) >= least:
+            score = max(score, align(unit, other))
     return score, round(score / max(1, MATCH * len(unit)), 4), exact
 
 
@@ -198,7 +207,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, score, share, exact) of exact, edited and paraphrased copies."""
-    return leaks(spark, sf_dir).filter(F.col("exact") | (F.col("share") >= EDITED)).dropDuplicates(["doc_id", "item_id"])
+    return leaks(spark, sf_dir, edited=True).filter(F.col("exact") | (F.col("share") >= EDITED)).dropDuplicates(["doc_id", "item_id"])
 
 
 def _runs_sql(key: str, name: str) -> str:

@@ -313,6 +313,14 @@ def test_leaks_agree_with_brute_force(spark, tables):
     assert {(r["doc_id"], r["item_id"]) for r in leaks.p9_leaks(spark, d).collect()} >= {(1, 10), (3, 10), (7, 10)}
 
 
+def test_an_edited_copy_alone_leaks(spark, tables):
+    w = [f"word{i}" for i in range(26)]
+    copy = [*w[:6], "edit", *w[7:18], "edit", *w[19:]]
+    d = tables(documents=[{"doc_id": 1, "text": " ".join(copy)}, {"doc_id": 2, "text": ARTICLE}], eval_items=[{"item_id": 5, "lang": "en", "text": " ".join(w)}])
+    assert [(r["doc_id"], r["item_id"], r["exact"]) for r in leaks.p9_leaks(spark, d).collect()] == [(1, 5, False)]
+    assert leaks.p9_found(spark, d).count() == 0
+
+
 def slow_alignment(a, b):
     h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):

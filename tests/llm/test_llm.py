@@ -166,6 +166,14 @@ def test_only_the_article_stays():
     assert boilerplate.body_lines(words, f"About us\n{ARTICLE}\n© 2001 Someone. All rights reserved.")[0] == [0, 2]
 
 
+def test_long_lines_are_judged_as_the_model_was_fitted():
+    words = boilerplate.learn_words([PAGE.format(ARTICLE)] * 5, [])
+    notice = f"{ARTICLE * 3}We use cookies on your device."
+    assert words.score(notice) == -9.0
+    line = "The display, the owner. " * 8
+    assert len(line) > 160 and words.score(line) == max(-9.0, min(9.0, sum(words.odds.get(f, 0.0) for f in boilerplate.features(line)) * 0.6))
+
+
 # 5
 
 SAMPLES = {

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.schema import COLUMNS
 
+#: Whether Spark removes the shuffle files of an execution when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables under ``sf_dir`` (a file or a folder of parts), with the
@@ -22,31 +25,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary one is made.
+    Only where the session names none and runs on one machine (tests) a temporary one is made.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="corpusloom-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
-    Unlike a checkpoint it is columnar, so later scans prune columns and push filters.
+    Unlike a checkpoint it is columnar, so later scans prune columns and push filters. The
+    shuffle files of the job that wrote it are removed at once, as nothing needs them any more.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,3 +73,11 @@ def blank(col):
 
 def default_sf_dir() -> str:
     return os.environ.get("CORPUSLOOM_SF_DIR", "/root/testdata/sf0.001")
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that ``written`` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    for path in {os.path.dirname(f) for f in df.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -270,6 +270,27 @@ def test_repeats_lose_no_pair(spark, tables):
     assert {tuple(r) for r in neardup.p7_found(spark, tables(releases=rows)).collect()} == expected
 
 
+def test_the_alignment_keeps_and_drops_pairs(spark, tables):
+    rng = np.random.default_rng(4)
+    w = [f"w{i}" for i in range(120)]
+    moved = w[80:] + w[:80]
+    scattered = [x for i in rng.permutation(30) for x in [*w[i * 4 : i * 4 + 3], f"s{i}"]]
+    runs = {n: neardup.kmers(None, " ".join(x)) for n, x in (("w", w), ("moved", moved), ("scattered", scattered))}
+    sizes = list(neardup.chains(runs["w"], runs["moved"]))
+    assert sizes == [78, 38] and sum(neardup.chains(runs["w"], runs["scattered"])) == len(np.intersect1d(runs["w"], runs["scattered"]))
+    assert neardup.aligned(runs["w"], runs["moved"], neardup.PART) > 0.9
+    lone = [x for i in rng.permutation(30) for x in [*w[i * 4 : i * 4 + 3], *(f"s{i}x{k}" for k in range(90))]]
+    assert neardup.aligned(runs["w"], neardup.kmers(None, " ".join(lone)), neardup.PART) < neardup.aligned(runs["w"], neardup.kmers(None, " ".join(lone)), 0)
+    d = tables(releases=[{"id": 1, "body": " ".join(w)}, {"id": 2, "body": " ".join(moved)}, {"id": 3, "body": " ".join(w[:90] + [f"z{i}" for i in range(60)])}])
+    assert [tuple(r) for r in neardup.p7_found(spark, d).collect()] == [(1, 2)]
+
+
+def test_a_class_of_copies_is_split(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    members = spark.createDataFrame([(i, 1) for i in range(1, 21)] + [(30, 30)], "id long, rep long")
+    assert sorted(map(tuple, neardup.copy_pairs(members).collect())) == [*combinations(range(1, 21), 2)]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 40) if i != 20], "a long, b long")
     nodes = spark.createDataFrame([(i,) for i in range(1, 42)], "node long")

@@ -20,12 +20,13 @@ not spread, as the sentence's other copies are sound.
 from __future__ import annotations
 
 import html
+import math
 import re
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +35,8 @@ from corpusloom.session import written
 
 #: Most bits in which verified passages may differ (four blocks, three bits each, less one), and least similarity of their word runs.
 HAMMING, SIMILARITY, RUN = 11, 0.8, 5
+#: Most words of a page whose headings, repeating its title, are all that it shows.
+BARE = 40
 
 #: Forms of unfilled placeholders.
 PLACEHOLDER = re.compile(
@@ -48,46 +51,18 @@ MENTION = re.compile(
     r"(?i)\b(?:pattern|placeholder|template|syntax|muster|platzhalter|vorlage|motif|modèle|gabarit|patrón|plantilla|marcador|wzór|wzorz\w+|szablon\w*|шаблон\w*|образ(?:ец|ц)\w*)\b"
     r".{0,40}\b(?:such as|like|called|wie|namens|comme|tel(?:le)? que|como|llamad\w|jak|typu|np|как|вроде|типа|вида)\b"
 )
-_CODE = r"(?:https? ?(?:error )?[1-5]\d\d\s*[-–:]\s*)?"
-#: How trusted residue begins, by language. Error messages and pages:
-ERRORS = (
-    r"\d{3}[ -]+(?:page |file )?not found|(?:error|http)[ :/-]*[1-5]\d\d\b(?!.{0,40}\bonly\b)|internal server error|bad gateway|gateway time-?out|service (?:temporarily )?unavailable"
-    r"|(?:sorry, )?the (?:requested |page |address |document |file )[^.]{0,60}(?:not (?:be )?found|no longer|has moved|does not exist|could not)"
-    r"|(?:sorry, )?the page you (?:are|were) looking for|page not found|not found[.!:]? the requested"
-    r"|access (?:is |to [^ ]+ (?:is |was )?)?denied|forbidden[.: ]|you (?:do not|don't) have permission|(?:php )?(?:fatal|parse) error:|(?:php )?(?:warning|notice): [\w ]+[(:]"
-    r"|exception in thread|unhandled exception|traceback \(most|java\.lang\.|odbc|microsoft ole db|sql (?:error|syntax)|you have an error in your sql|server error in"
-    r"|object moved|index of /|(?:your )?session\b.{0,40}\bexpired|bandwidth (?:limit )?exceeded|err_[a-z]+|\[an error occurred|too many connections|connection (?:refused|timed out)|this site can.t be reached"
-    # German
-    r"|(?:http-)?fehler [1-5]\d\d\b|interner serverfehler|die (?:angeforderte|gewünschte|gesuchte|aufgerufene) (?:seite|adresse|datei)|seite (?:wurde )?nicht gefunden|zugriff (?:auf [^ ]+ )?(?:verweigert|nicht)|wegen wartungsarbeiten|der (?:dienst|server) ist (?:vorübergehend|derzeit)"
-    # French
-    r"|erreur (?:interne|[1-5]\d\d\b)|la page (?:demandée|que vous|/)|page (?:non trouvée|introuvable)|accès (?:refusé|interdit|à)|service (?:temporairement )?indisponible|en raison (?:de|d.une|d.un) (?:travaux|maintenance|opération)"
-    # Spanish
-    r"|error (?:interno|[1-5]\d\d\b)|la página (?:solicitada|que (?:busca|solicitó))|página no encontrada|acceso (?:denegado|prohibido)|servicio (?:temporalmente )?no disponible|por (?:tareas|trabajos|labores) de mantenimiento"
-    # Polish
-    r"|błąd [1-5]\d\d\b|wewnętrzny błąd|żądana strona|(?:nie znaleziono|brak) strony|strona (?:o podanym adresie )?nie istnieje|(?:odmowa|brak|odmówiono) dostępu|(?:z powodu|trwają) prac|usługa (?:chwilowo |tymczasowo )?niedostępna"
-    # Russian
-    r"|ошибка [1-5]\d\d\b|внутренняя ошибка|(?:запрошенная|запрашиваемая|искомая) страница|страница .{0,60}не (?:найдена|существует)|доступ .{0,40}(?:запрещ|закрыт|отказ)|(?:из-за|ведутся|по причине) (?:технических|профилактических|технические|работ)|сервис временно недоступен|сервер .{0,40}(?:временно )?недоступен"
+#: Forms by which servers and runtimes report, whatever the language around
+#: them: status numbers behind the word for error, and messages of programs.
+REPORTS = (
+    r"(?:bad gateway|gateway time-?out|service (?:temporarily )?unavailable|internal server error)\b|(?:http|error|fehler|erreur|błąd|ошибка)[ :/-]{1,3}[45]\d\d\b(?!.{0,40}\bonly\b)|[45]\d\d[ -]+(?:page |file )?not found|err_[a-z]+"
+    r"|(?:php )?(?:fatal|parse) error:|(?:php )?(?:warning|notice): \w+\(|exception in thread|traceback \(most|odbc driver error|microsoft ole db|you have an error in your sql"
+    r"|\[an error occurred while|index of /|object moved\b.{0,40}\bfound here"
 )
-#: Notices that scripts or frames are required.
-NOTICES = (
-    r"(?:please )?(?:enable|activate|turn on|switch on) (?:java)?script|you (?:need|have) to enable (?:java)?script|this (?:application|app|page|site|website) (?:requires|needs|uses) (?:java)?(?:scripts?|frames)|(?:java)?script (?:is|must be|has to be) (?:disabled|required|enabled|turned on)\b(?! only)(?=.{0,60}(?:page|site|browser|view|reload|continue|content|\.$|$))|your browser (?:does not|doesn.t|cannot|can.t)"
-    r"|bitte aktivieren sie (?:java)?s[ck]ript|diese (?:anwendung|seite) (?:benötigt|erfordert|verwendet) (?:aktive )?(?:java)?(?:s[ck]ripte?|frames)|ihr browser\b"
-    r"|veuillez activer (?:java)?script|cette (?:application|page) (?:nécessite|requiert|utilise)\b.{0,30}(?:script|cadres|frames)|votre navigateur\b"
-    r"|(?:por favor,? )?(?:active|habilite|activa) (?:java)?script|esta (?:aplicación|página) (?:necesita|requiere|utiliza|usa)\b.{0,30}(?:script|marcos|frames)|su navegador\b"
-    r"|(?:aby|żeby) (?:wyświetlić|zobaczyć|obejrzeć).{0,40}(?:java)?s[ck]r[iy]pt|(?:proszę )?włącz(?:yć)? (?:obsługę )?(?:java)?s[ck]r[iy]pt|ta (?:aplikacja|strona) (?:wymaga|używa)\b.{0,30}(?:skrypt|script|ramek)|(?:twoja|państwa|ta) przeglądarka\b"
-    r"|(?:пожалуйста, )?включите (?:поддержку )?(?:java|скрипт)|эт(?:о|а) (?:приложение|страница) (?:требует|использует)\b.{0,30}(?:script|скрипт|фрейм)|ваш браузер\b"
-)
-#: Filler text.
-FILLER = (
-    r"lorem ipsum|(?:body )?copy to follow|(?:headline|title|text|copy|body|caption|name) (?:goes|comes) here|placeholder (?:text|only|copy)|(?:enter|type|insert|add|put) (?:your |the |some )?(?:text|title|headline|content|copy|name)\b.{0,30}(?:here|box|field)|(?:todo|tbd|fixme)\s*:|dummy text|text to follow|your text here|this is (?:a )?(?:sample|dummy|placeholder)"
-    r"|(?:page |main |your )?(?:title|headline|heading|text|caption|body|quote|name)\b.{0,25}\bhere\W*$|(?:seiten)?(?:titel|überschrift|text|zitat|name)\b.{0,25}\bhier\W*$|(?:titre|texte|citation|nom)\b.{0,25}\bici\W*$|(?:título|titular|texto|cita|nombre)\b.{0,25}\baquí\W*$|(?:tytuł|nagłówek|tekst|cytat|nazwa)\b.{0,25}\b(?:tutaj|tu)\W*$|(?:заголовок|название|текст|цитата|имя)\b.{0,25}\b(?:здесь|тут)\W*$"
-    r"|blindtext|platzhalter(?:text)?\b|(?:text|überschrift|titel|inhalt|zitat|name) (?:bitte )?(?:folgt|kommt noch|(?:hier )?(?:einfügen|eingeben|einsetzen|ergänzen))|hier (?:steht|folgt|kommt|bitte|entsteht|text|überschrift|ihren?|den|die|das)\b.{0,40}(?:text|überschrift|titel|inhalt|einfügen|eingeben)|(?:ihr|der) text (?:hier|folgt)|geben sie (?:hier )?(?:ihren|den|die)"
-    r"|texte? (?:à venir|ici|de remplissage|provisoire|factice|en attente)|(?:saisissez|insérez|entrez|écrivez|tapez) (?:ici |votre |le |un )|votre texte ici|titre (?:ici|à venir|à compléter)"
-    r"|texto (?:pendiente|de relleno|aquí|provisional|por venir|de ejemplo)|(?:escriba|introduzca|inserte|ponga|añada) (?:aquí|su|el|un) |título (?:aquí|pendiente)"
-    r"|(?:tutaj|tu) (?:wpisz|wstaw|będzie|pojawi)|(?:wpisz|wstaw|wprowadź) (?:tutaj|tu|tekst|tytuł|treść|swój)|tekst (?:zastępczy|do uzupełnienia|wkrótce|przykładowy|w przygotowaniu|próbny)|treść (?:wkrótce|do uzupełnienia|w przygotowaniu)"
-    r"|(?:введите|вставьте|напишите|впишите) (?:здесь|сюда|текст|заголовок|ваш|свой)|здесь (?:будет|должен быть|может быть|вставьте|введите)|текст (?:будет|появится|заглушка|для заполнения|в работе|готовится)|заголовок (?:будет|здесь)|рыба-?текст"
-)
-TRUSTED = re.compile(rf"\W{{0,3}}{_CODE}(?:{ERRORS}|{NOTICES}|{FILLER})")  # of lower-cased passages
+#: How the usual filler and notes to the writer begin.
+FILLER = r"lorem ipsum|(?:todo|tbd|fixme)\s*:|(?:headline|title|text|copy|caption|name) goes here"
+TRUSTED = re.compile(rf"\W{{0,3}}(?:{REPORTS}|{FILLER})")  # of lower-cased passages
+#: What a page tells readers without scripts speaks of scripts, in any language.
+SCRIPTS = re.compile(r"(?i)s[ck]r[iy]pt|скрипт")
 #: A bracket that tells the writer what to put there.
 BRACKET = re.compile(r"(?i)\[[^\[\]\n]{0,60}\b(?:insert|add|enter|place|einfügen|einsetzen|ergänzen|insérer|ajouter|insertar|añadir|wstaw|wstawić|dodaj|вставьте|вставить|добавьте)\b[^\[\]\n]{0,60}\]")
 #: The words of the usual Latin filler.
@@ -104,11 +79,17 @@ _HOST = re.compile(r"\.(?:example|com|org|net|de|fr|es|pl|ru)\b")
 _SITE = re.compile(r"\b(?:www\.)?[\w-]+\.(?:example|com|org|net|de|fr|es|pl|ru)\b")
 _PATH = re.compile(r"(?<![\w<])/[\w./?=&%-]+")
 _DIGIT = re.compile(r"[0-9]")
+#: A status number put before a message; what programs name: "x", 'x', a.b(), f().
+_STATUS = re.compile(r"^\W*https? (?:error )?[1-5]\d\d\s*[-–:]\s*")
+_NAMED = re.compile(r"\"[\w-]{1,30}\"|'[\w-]{1,30}'|\b[\w.]{2,40}\((?:unknown source)?\)|(?<=upstream )\w+")
 #: Numbers, and words of six or more hexadecimal digits.
 _NUMBER = re.compile(r"\b(?:\d\w*|[a-f](?=[a-f]*\d)[0-9a-f]{5,}\b)")
 _DROPPED = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|title|head)\b.*?</\1\s*>|<!doctype[^>]*>")
 _BLOCKS = re.compile(r"(?i)</?(?:p|div|li|ul|ol|td|th|tr|table|h[1-6]|br|hr|body|html|main|article|nav|aside|footer|header|section|form|small|pre|blockquote|dl|dt|dd)\b[^>]*>")
 _TAGS = re.compile(r"</?[A-Za-z][^>]*>")
+_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title")
+_NOSCRIPT = re.compile(r"(?is)<noscript\b[^>]*>(.*?)</noscript")
+_HEADING = re.compile(r"(?is)<h1\b[^>]*>.*?</h1>")
 
 
 def passages(rel: str, text: str) -> list[str]:
@@ -120,6 +101,24 @@ def passages(rel: str, text: str) -> list[str]:
     return [p for x in text.split("\n") if (p := " ".join(x.split()))]
 
 
+def notices(source: str) -> list[str]:
+    """What a page shows in place of scripts: trusted notices, though not shown themselves."""
+    if "<noscript" not in source and "<NOSCRIPT" not in source:
+        return []
+    found = (" ".join(html.unescape(_TAGS.sub(" ", x)).split()) for x in _NOSCRIPT.findall(source))
+    return [x for x in found if SCRIPTS.search(x)]
+
+
+def bare(source: str, shown: list[str]) -> bool:
+    """True for a page that shows a heading with the words of its title and nothing else, as
+    servers answer in place of an article."""
+    if sum(len(p.split()) for p in shown) > BARE or not (title := _TITLE.search(source)) or not shown:
+        return False
+    title = " ".join(html.unescape(title[1]).split())
+    rest = _HEADING.sub(" ", _DROPPED.sub(" ", source))
+    return bool(title) and shown[0].startswith(title) and not html.unescape(_TAGS.sub("", rest)).strip()
+
+
 def placeholder(passage: str) -> bool:
     """True for an unfilled part in use, not in a sentence that talks about such parts."""
     if not any(c in passage for c in "{<#%@$_[X"):
@@ -137,14 +136,17 @@ def trusted(passage: str) -> bool:
 
 
 def masked(passage: str) -> str:
-    """The passage's words, lower-cased, without what differs from copy to copy."""
+    """The passage's words, lower-cased, without what differs from copy to copy: addresses,
+    numbers, codes, names in programs' messages."""
     passage = passage.lower()
     if _HOST.search(passage):
-        passage = _SITE.sub("site", passage)
+        passage = _SITE.sub(" ", passage)
     if "/" in passage:
-        passage = _PATH.sub(" path ", passage)
+        passage = _PATH.sub(" ", passage)
+    if '"' in passage or "'" in passage or "(" in passage:
+        passage = _NAMED.sub(" ", passage)
     if not passage.isascii() or _DIGIT.search(passage):
-        passage = _NUMBER.sub("0", passage)
+        passage = _NUMBER.sub(" ", _STATUS.sub("", passage))
     return " ".join(_WORD.findall(passage))
 
 
@@ -198,31 +200,47 @@ _KNOWN: dict[str, tuple[bool, bool, str]] = {}
 
 
 def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
-    """(seed, in_use, masked) of each distinct passage; the first two tell whether it is
-    residue as a whole and whether it holds a placeholder in use."""
+    """(seed, in_use, shown, masked) of each distinct passage: whether it is trusted for
+    residue as a whole, holds a placeholder in use, is shown at all."""
     out = {}
-    for p in passages(rel, text):
+    found = passages(rel, text)
+    lone = rel == "page_cache" and bare(text, found)
+    for p in found:
         if (known := _KNOWN.get(p)) is None:
             known = (trusted(p), placeholder(p), masked(p))
             if len(p) < 100:  # menus and the like come again and again
                 if len(_KNOWN) > 100_000:
                     _KNOWN.clear()
                 _KNOWN[p] = known
-        m = known[2]
-        if m not in out or not (out[m][0] or out[m][1]):
-            out[m] = known
+        seed, in_use, m = known
+        if (seed or in_use or m) and (m not in out or not (out[m][0] or out[m][1])):
+            out[m] = (seed or (lone and not in_use and m.count(" ") > 1), in_use, True, m)
+    if rel == "page_cache":
+        for p in notices(text):
+            if (m := masked(p)) and m not in out:
+                out[m] = (True, False, False, m)
     return [*out.values()]
 
 
 def add_hashes(batch: pd.DataFrame) -> pd.DataFrame:
-    """A batch of passages with the hash and the SimHash of their masked texts."""
+    """A batch of passages with the hash, the SimHash and the number of distinct five-word
+    runs of their masked texts."""
     texts = [t if isinstance(t, str) else "" for t in batch["masked"]]
     distinct = dict.fromkeys(texts)
-    distinct = dict(zip(distinct, simhashes([*distinct]).tolist()))
-    return batch.assign(h=np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64), simhash=np.array([distinct[t] for t in texts], np.int64))
+    sizes = []
+    for t in distinct:
+        w = t.split()
+        sizes.append(len({*zip(w, w[1:], w[2:], w[3:], w[4:])}) if len(w) >= RUN else 0)
+    distinct = dict(zip(distinct, zip(simhashes([*distinct]).tolist(), sizes)))
+    return batch.assign(h=np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64), simhash=np.array([distinct[t][0] for t in texts], np.int64), runs=np.array([distinct[t][1] for t in texts], np.int32))
+
 
+add_hashes.columns = "h long, simhash long, runs int"
 
-add_hashes.columns = "h long, simhash long"
+
+def _band() -> Column:
+    """Passages whose runs share SIMILARITY of their union lie in the same or the next band."""
+    return F.floor(F.log(F.col("runs")) / math.log(1 / SIMILARITY)).cast("int")
 
 
 def _blocks(df: DataFrame) -> DataFrame:
@@ -232,26 +250,27 @@ def _blocks(df: DataFrame) -> DataFrame:
 
 
 def _probes(blocks: DataFrame) -> DataFrame:
-    """The blocks, and those that differ from them in one or two bits."""
+    """The blocks and those that differ from them in one or two bits, in their band and those beside."""
     masks = sorted({1 << i | 1 << j for i in range(16) for j in range(16)} | {0})
-    flip = F.explode(F.array(*map(F.lit, masks))).alias("flip")
-    return blocks.select("*", flip).withColumn("bits", F.col("bits").bitwiseXOR(F.col("flip").cast("long"))).drop("flip")
+    flipped = blocks.select("*", F.explode(F.array(*map(F.lit, masks))).alias("flip")).withColumn("bits", F.col("bits").bitwiseXOR(F.col("flip").cast("long"))).drop("flip")
+    return flipped.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
 
 
 def spread_labels(passage: DataFrame, seeds: DataFrame) -> DataFrame:
     """h of every passage in a component with a seed.
 
-    ``passage``: (h, simhash, masked), one row a passage; ``seeds``: (h, simhash, masked).
-    Each round joins only what the last one found, and ends when it found nothing.
+    Both are (h, simhash, runs, masked), a row a passage. Passages without a five-word run
+    are similar to themselves only and stay out of the tables, which are made once. Each
+    round joins only what the last one found, and ends when it found nothing.
     """
-    tables = _blocks(passage.select("h", "simhash"))
+    tables = written(_blocks(passage.filter("runs > 0").select("h", "simhash", _band().alias("band"))), "residue-tables")
     known = seeds.select("h")
-    frontier, found = seeds, None
+    frontier, found = seeds.filter("runs > 0"), None
     while True:
-        near = _probes(_blocks(frontier.select(F.col("h").alias("from_h"), F.col("simhash").alias("from_simhash"), "simhash")).drop("simhash"))
-        pairs = tables.join(near, ["i", "bits"]).filter(F.bit_count(F.col("simhash").bitwiseXOR(F.col("from_simhash"))) <= HAMMING).filter("h <> from_h").select("h", "from_h").distinct()
+        near = _probes(_blocks(frontier.select(F.col("h").alias("from_h"), F.col("simhash").alias("from_simhash"), "simhash", _band().alias("band"))).drop("simhash"))
+        pairs = tables.join(near, ["i", "bits", "band"]).filter(F.bit_count(F.col("simhash").bitwiseXOR(F.col("from_simhash"))) <= HAMMING).filter("h <> from_h").select("h", "from_h").distinct()
         new = pairs.join(known, "h", "left_anti").join(passage, "h").join(frontier.select(F.col("h").alias("from_h"), F.col("masked").alias("from_masked")), "from_h")
-        new = written(new.filter(similar_udf("masked", "from_masked")).select("h", "simhash", "masked").dropDuplicates(["h"]), "residue-round")
+        new = written(new.filter(similar_udf("masked", "from_masked")).select("h", "simhash", "runs", "masked").dropDuplicates(["h"]), "residue-round")
         if new.isEmpty():
             return known if found is None else known.unionByName(found)
         known = known.unionByName(new.select("h"))
@@ -261,24 +280,39 @@ def spread_labels(passage: DataFrame, seeds: DataFrame) -> DataFrame:
 def residue_records(spark: SparkSession, sf_dir: str, model=None, also=None) -> tuple[DataFrame, DataFrame]:
     """(rel, rec_key) of the records to leave out, and (rel, rec_key, source, other) of what
     ``also(rel, text)``, a function to a string or None, made of each record in the same pass."""
+    cases, others = residue_reasons(spark, sf_dir, model, also)
+    return cases.select("rel", "rec_key").distinct(), others
+
+
+def residue_reasons(spark: SparkSession, sf_dir: str, model=None, also=None) -> tuple[DataFrame, DataFrame]:
+    """(rel, rec_key, how), by what each record is one: 'placeholder', 'trusted', 'spread'; and
+    the others as above."""
 
     def work(rel: str, text: str, garbled: bool) -> list[tuple]:
         rows = [(*x, None) for x in _work(rel, text, garbled)]
-        return rows if also is None or (other := also(rel, text)) is None else [*rows, (None, None, None, other)]
+        return rows if also is None or (other := also(rel, text)) is None else [*rows, (None, None, None, None, other)]
 
-    rows = read_records(spark, sf_dir, model, columns="seed boolean, in_use boolean, masked string, other string", work=work, finish=add_hashes)
+    rows = read_records(spark, sf_dir, model, columns="seed boolean, in_use boolean, shown boolean, masked string, other string", work=work, finish=add_hashes)
     every = written(rows, "residue-passages")
     others = every.filter("other IS NOT NULL").select("rel", "rec_key", "source", "other")
     rows = every.filter("masked IS NOT NULL")
-    distinct = rows.groupBy("h").agg(F.first("simhash").alias("simhash"), F.first("masked").alias("masked"), F.max("seed").alias("seed"))
+    distinct = rows.groupBy("h").agg(F.first("simhash").alias("simhash"), F.first("runs").alias("runs"), F.first("masked").alias("masked"), F.max("seed").alias("seed"))
     distinct = written(distinct, "residue-distinct")
-    seeds = distinct.filter("seed").select("h", "simhash", "masked")
-    labelled = spread_labels(distinct.filter("NOT seed").select("h", "simhash", "masked"), seeds)
-    direct = rows.filter("seed OR in_use").select("rel", "rec_key")
-    spread = rows.filter("NOT seed").select("rel", "rec_key", "h").join(labelled, "h", "left_semi").select("rel", "rec_key")
-    return direct.unionByName(spread).distinct(), others
+    columns = ["h", "simhash", "runs", "masked"]
+    labelled = spread_labels(distinct.filter("NOT seed").select(columns), distinct.filter("seed").select(columns))
+    direct = rows.filter("shown AND (seed OR in_use)").select("rel", "rec_key", F.when(F.col("in_use"), "placeholder").otherwise("trusted").alias("how"))
+    spread = rows.filter("shown AND NOT seed").select("rel", "rec_key", "h").join(labelled, "h", "left_semi").select("rel", "rec_key", F.lit("spread").alias("how"))
+    return direct.unionByName(spread), others
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel, rec_key) of the records that hold or are residue."""
     return residue_records(spark, sf_dir)[0]
+
+
+def p1_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rel, rec_key, how): the cases with the firmest of what made them cases; 'spread' is a
+    label that came along links alone."""
+    cases, _ = residue_reasons(spark, sf_dir)
+    place = F.when(F.col("how") == "placeholder", 3).when(F.col("how") == "trusted", 2).otherwise(1)
+    return cases.groupBy("rel", "rec_key").agg(F.max_by("how", place).alias("how"))

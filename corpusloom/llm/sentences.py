@@ -1,26 +1,36 @@
 """Sentence boundaries across languages and scripts (problem 10).
 
-Lines are cut first, as a line break always ends a sentence. In a line of a spaced script
-every terminator is a node of a lattice whose edges are possible sentences; a node's price
-is what its point, mark or ellipsis, the word before, the word after and open brackets
-say, and the cheapest path is taken. In spaceless scripts what follows a closing quotation
-is cut into words by a dictionary lattice, and the gap is classified by its first word: a
-particle carries the sentence on, an opening word starts another. In Thai a space between
-two Thai characters ends a sentence.
+Lines are cut first, as a line break always ends a sentence. In a line every terminator is
+a node of a lattice whose edges are possible sentences. A node has a price by its mark, the
+word before and the word after; an edge costs by what would be left in its sentence: a
+bracket or quotation broken in two, or nothing but a short token. The dearest path through
+nodes and edges is taken, so a cut can be given up for the sake of another.
+
+What the price asks of words is learned from all documents. In spaced scripts a capital
+speaks for a new sentence if the word is mostly written without one. Spaceless scripts are
+segmented by a dictionary word lattice: its words are the runs of characters that hold
+together across the corpus, and the gap at a mark is classified by the word before it (a
+particle that often stands last) and the one after it (a word that often stands first). In
+Thai a space between two Thai characters ends a sentence, as the data's contract has it.
 
 Defined results: null, empty and blank texts have no sentences; a line of marks alone is a
-sentence of its own.
+sentence of its own; without documents to learn from the fixed lists decide alone.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.session import spread, table
+from corpusloom.session import dropped, spread, table, written
 
 # Abbreviations after which no sentence ends, whatever follows.
 NEVER = frozenset(
@@ -48,23 +58,26 @@ GERMAN_MONTHS = frozenset("januar jänner februar märz april mai juni juli augu
 # Words that open sentences, by language.
 OPENERS = frozenset(
     "the a an this that these those it its in on at for with from by to as if when while since after before both all no not there here he she we they you i our their his her who what why how which where does do is are was were has have can will however but and or yet so according "
-    "der die das dem den des ein eine einer eines einem einen es er sie wir ihr ich mit für im in am an auf aus bei bis seit nach vor von zum zur zu laut wer was warum wie wo wann ob wenn als da dass doch aber und oder auch so nun hier dort dies diese dieser dieses damit dazu gegenüber gemeinsam über unter zwischen ohne durch um läuft hersteller prof "
-    "le la les un une des du de ce cet cette ces il elle ils elles on nous vous je en au aux à pour par avec sans sous sur dans depuis d’après selon pourquoi comment quand où qui que quoi si mais et ou est-ce contrairement l’ensemble "
+    "der die das dem den des ein eine einer eines einem einen es er sie wir ihr ich mit für im in am an auf aus bei bis seit nach vor von zum zur zu wer was warum wie wo wann ob wenn als da dass doch aber und oder auch so nun hier dort dies diese dieser dieses damit dazu über unter zwischen ohne durch um "
+    "le la les un une des du de ce cet cette ces il elle ils elles on nous vous je en au aux à pour par avec sans sous sur dans depuis d’après selon pourquoi comment quand où qui que quoi si mais et ou est-ce "
     "el los las una unos unas lo al del con sin por para en desde según cuando donde quién quienes qué cómo si pero y o su sus este esta estos estas ese esa a es "
-    "w we z ze na do od dla po przy przez o u według dlaczego jak kiedy gdzie kto co czy jeśli ale i oraz to ten ta te ci firma sprzedaż gwarancja "
-    "в во на по с со из от до для при о об у к за под над после перед почему как когда где кто что если но и или это этот эта эти он она они мы вы я его их компания гарантия".split()
+    "w we z ze na do od dla po przy przez o u według dlaczego jak kiedy gdzie kto co czy jeśli ale i oraz to ten ta te ci "
+    "в во на по с со из от до для при о об у к за под над после перед почему как когда где кто что если но и или это этот эта эти он она они мы вы я его их".split()
 )
 _GERMAN = re.compile(r"(?i)\b(?:der|die|das|und|für|mit|von|im|am|den|dem|zum|zur|ein|eine|bis|ist|sind|wird|nicht|auch|bei|seit)\b")
 
-# Words of the spaceless scripts after a closing quotation: particles that
-# carry the sentence on, and words that open another.
-CARRY_ON = frozenset("と とは との という といった として って も は が を に へ で の や から まで より など ・ 的 地 得 等 等等 是 之 一词 一句 这 这样 那样 为 一文 一书 を に では には".split())
-OPEN = frozenset("在 该 用户 与 保修期 负责人 为什么 为何 因此 但是 但 而且 此外 同时 目前 我们 他 她 它 公司 产品 新 このため そのため しかし また さらに なお なぜ 詳しい 発売 保証 旧機種 担当 同社 この その これ".split())
-_LONGEST = max(map(len, CARRY_ON | OPEN))
+# Particles that carry a sentence on after a closing quotation, in scripts
+# without spaces.
+CARRY_ON = frozenset("と とは との という といった として って も は が を に へ で の や から まで より など ・ 的 地 得 等 等等 是 之 一词 一句 这 这样 那样 为 一文 一书 では には".split())
 
 _CJK = "぀-ヿ㐀-鿿豈-﫿　-〿＀-￯"
 _THAI_GAP = re.compile(r"(?<=[฀-๿])\s+(?=[฀-๿])")
-_MARK = re.compile(r"[.!?…。！？｡।॥؟۔]+")
+#: Sentence terminals of the basic plane by Unicode's property. The ASCII ones, the ellipsis
+#: and the full-width ones have rules of their own, the others (Hindi, Burmese, Khmer,
+#: Ethiopic ...) always end one.
+TERMINALS = "".join(c for c in map(chr, range(0x80, 0x10000)) if regex.match(r"\p{Sentence_Terminal}", c))
+_SURE = frozenset(TERMINALS) - frozenset("…。！？｡．")
+_MARK = re.compile(f"[.!?…{TERMINALS}]+")
 _CLOSE = "”’»)]}›」』】）〉》〕］｣"
 _AFTER = re.compile(r"(?:[\"'“”’»›)\]}」』】）〉》〕］｣]|[   ](?=»)»)*")
 _OPENING = " \t  „“«‚‘\"'([{¿¡‹「『【（《*•·"
@@ -75,23 +88,130 @@ _NEXT = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+|-[^\W\d_]+)*")
 _INITIALS = re.compile(r"(?:[^\W\d_]\.\s?-?)*[^\W\d_]")
 
 
-def first_word(text: str, at: int) -> str:
-    """The first word of the cheapest path through the dictionary's word lattice."""
-    view = text[at : at + 2 * _LONGEST]
-    cost, back = [0.0] + [1e9] * len(view), [0] * (len(view) + 1)
-    for i in range(len(view)):
-        for n in range(1, min(_LONGEST, len(view) - i) + 1):
-            word = view[i : i + n]
-            price = 1.0 if word in CARRY_ON or word in OPEN else 2.2 if n == 1 else 1e9
-            if cost[i] + price < cost[i + n]:
-                cost[i + n], back[i + n] = cost[i] + price, i
-    end = len(view)
-    while end and back[end]:
-        end = back[end]
-    return view[:end]
+#: Longest word of the lattice; share of its kind that a count needs, so a kind has at most
+#: 500,000; least information (in nats) by which the parts of a word hold together.
+LONGEST, LEAST_SHARE, COHESION = 4, 2e-6, 2.0
+_SPACELESS = re.compile(r"[぀-ヿ㐀-鿿豈-﫿฀-๿ກ-ໟက-႟ក-៿]+")
+
+
+_BEFORE = re.compile(f"{_SPACELESS.pattern}$")
+
+
+def count_line(line: str, total: Counter) -> None:
+    """Runs of characters of a line in a spaceless script, wherever they stand (g), first in a
+    piece (s) and last before a mark or the line's end (e). A kind's key alone is its sum."""
+    for m in _SPACELESS.finditer(line):
+        piece = m.group()
+        for n in range(1, LONGEST + 1):
+            total.update(["g" + piece[i : i + n] for i in range(len(piece) - n + 1)])
+        first = m.start() == 0 or line[m.start() - 1] in "。！？"
+        last = m.end() == len(line) or line[m.end()] in "。！？"
+        for n in range(1, min(LONGEST, len(piece)) + 1):
+            if first:
+                total["s" + piece[:n]] += 1
+            if last:
+                total["e" + piece[-n:]] += 1
+
+
+def count_words(documents: DataFrame) -> DataFrame:
+    """(key, n) over all texts; each task sums up before the shuffle. A key is its kind (w for
+    words between blanks, else as above) and the word or run."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: Counter[str] = Counter()
+        words: Counter[str] = Counter()
+
+        def out() -> pd.DataFrame:
+            for w, n in words.items():
+                if w.isalpha() and not _SPACELESS.match(w) and (w.islower() or w.istitle()):
+                    total["w" + w] += n
+            made = pd.DataFrame({"key": list(total), "n": list(total.values())})
+            words.clear()
+            total.clear()
+            return made
+
+        for batch in batches:
+            for text in batch["text"]:
+                if isinstance(text, str):
+                    words.update(text.split())
+                    if not text.isascii() and _SPACELESS.search(text):
+                        for line in text.split("\n"):
+                            if line:
+                                count_line(line, total)
+            if len(words) + len(total) > 500_000:
+                yield out()
+        if words or total:
+            yield out()
+
+    return documents.select("text").mapInPandas(work, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+class Words:
+    """What the corpus says of words; sent to the tasks once."""
+
+    def __init__(self, counts: dict[str, int]) -> None:
+        kinds: dict[str, dict[str, int]] = {"w": {}, "g": {}, "s": {}, "e": {}}
+        for key, n in counts.items():
+            kinds[key[0]][key[1:]] = n
+        #: Words that are written without a capital at least as often as with one.
+        self.common = frozenset(w for w, n in kinds["w"].items() if w.islower() and n > 1 and n >= kinds["w"].get(w.title(), 0))
+        runs = kinds["g"]
+        one = max(1, sum(n for w, n in runs.items() if len(w) == 1))
+        self.price: dict[str, float] = {}
+        for w, n in runs.items():
+            held = min((math.log(n * one / (runs.get(w[:i], n) * runs.get(w[i:], n))) for i in range(1, len(w))), default=0.0)
+            if len(w) == 1 or (n > 2 and held >= COHESION):
+                self.price[w] = math.log(one / n)
+        self.first, self.last = self._odds(kinds["s"], runs), self._odds(kinds["e"], runs)
 
+    @staticmethod
+    def _odds(there: dict[str, int], anywhere: dict[str, int]) -> dict[str, float]:
+        """How much likelier than elsewhere a run stands there, in nats."""
+        a, b = max(1, sum(n for w, n in there.items() if len(w) == 1)), max(1, sum(n for w, n in anywhere.items() if len(w) == 1))
+        return {w: math.log((n / a) / (anywhere.get(w, n) / b)) for w, n in there.items() if n > 2}
 
-def _price(line: str, start: int, end: int, stop: int, german: bool) -> float:
+    def segment(self, piece: str) -> list[str]:
+        """The cheapest path through the lattice of dictionary words."""
+        cost, back = [0.0] + [math.inf] * len(piece), [0] * (len(piece) + 1)
+        for i in range(len(piece)):
+            for n in range(1, min(LONGEST, len(piece) - i) + 1):
+                w = piece[i : i + n]
+                price = self.price.get(w, 1.0 if w in CARRY_ON else 16.0 if n == 1 else math.inf)
+                if cost[i] + price < cost[i + n]:
+                    cost[i + n], back[i + n] = cost[i] + price, i
+        out, end = [], len(piece)
+        while end:
+            out.append(piece[back[end] : end])
+            end = back[end]
+        return out[::-1]
+
+    def gap(self, before: str, after: str) -> tuple[float, float, str]:
+        """How much the word before a gap speaks for an end (a final particle), how much the
+        one after it does (an opening word), and the word after it."""
+        a, b = _BEFORE.search(before), _SPACELESS.match(after)
+        last = self.segment(a.group())[-1] if a else ""
+        first = self.segment(b.group())[0] if b else ""
+        bound = lambda x: max(-3.0, min(3.0, x))
+        return bound(self.last.get(last, 0.0)), bound(self.first.get(first, -1.0 if first in self.price and len(first) > 1 else 0.0)), first
+
+
+NOTHING = Words({})
+
+
+def learn(spark: SparkSession, sf_dir: str) -> Words:
+    """The words of all documents; what comes to the driver is bounded by LEAST_SHARE."""
+    counts = written(count_words(spread(table(spark, sf_dir, "documents"))), "sentence-words")
+    kind = F.substring("key", 1, 1)
+    totals = {r["kind"]: r["n"] for r in counts.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n")).collect()}
+    least = F.lit(2)
+    for k, n in totals.items():
+        least = F.when(kind == k, max(2, math.ceil(n * LEAST_SHARE))).otherwise(least)
+    rows = counts.filter(F.col("n") >= least).collect()
+    dropped(counts)
+    return Words({r["key"]: r["n"] for r in rows})
+
+
+def _price(line: str, start: int, end: int, stop: int, german: bool, words: Words) -> float:
     """What speaks for an end at the marks line[start:end], closed at ``stop`` (positive) or against it."""
     marks, rest = line[start:end], line[stop:]
     after = rest.lstrip(_OPENING)
@@ -99,11 +219,17 @@ def _price(line: str, start: int, end: int, stop: int, german: bool) -> float:
         return 9.0
     if marks[-1] in _FULL or (marks[-1] in "!?…" and re.match(f"[{_CJK}]", after[:1] or " ")):
         if stop > end and any(c in _CLOSE or c == "“" for c in line[end:stop]):
-            if rest[:1] in "、，,：:；;" or first_word(rest, 0) in CARRY_ON:
+            _, opening, first = words.gap("", rest)
+            if rest[:1] in "、，,：:；;" or (first in CARRY_ON and opening < OPENS):
                 return -5.0
-            return 5.0 if re.match(r"[㐀-鿿A-Za-z]", rest[:1]) and not re.search(r"[぀-ヿ]", line) else 5.0 if first_word(rest, 0) in OPEN or rest[:1].isspace() else -1.0 if re.match(r"[぀-ゟ]", rest[:1]) else 3.0
+            if opening >= OPENS or rest[:1].isspace():
+                return 5.0
+            return 5.0 if re.match(r"[㐀-鿿A-Za-z]", rest[:1]) and not re.search(r"[぀-ヿ]", line) else -1.0 if re.match(r"[぀-ゟ]", rest[:1]) else 3.0
+        if marks[-1] == "…":
+            final, opening, _ = words.gap(line[:start], rest)
+            return 2.0 + final + opening
         return -5.0 if rest[:1] in "、，,」』" else 6.0
-    if marks[-1] in "।॥؟۔":
+    if marks[-1] in _SURE:
         return 6.0
     spaced = rest[0].isspace() or stop > end and line[stop - 1].isspace()
     closed = stop > end
@@ -126,7 +252,7 @@ def _price(line: str, start: int, end: int, stop: int, german: bool) -> float:
     follow = _NEXT.match(after)
     word = follow.group() if follow else ""
     loud = len(word) > 1 and word.isupper() and token.isupper() and len(token) > 1
-    opens = word.lower() in OPENERS or word.lower().split("’")[0] in OPENERS and "’" in word
+    opens = word.lower() in OPENERS or word.lower() in words.common or word.lower().split("’")[0] in OPENERS and "’" in word
     if c.islower() or (loud and closed and marks != "." and not opens):
         return -6.0
     if len(marks) > 1 or marks in "…!?":
@@ -160,30 +286,57 @@ def _price(line: str, start: int, end: int, stop: int, german: bool) -> float:
     return 5.0
 
 
-def line_sentences(line: str, german: bool) -> list[tuple[int, int]]:
+#: Odds from which a word opens a sentence; what an edge of the lattice costs for each bracket
+#: or quotation that it breaks, and for a sentence that is a short token alone.
+OPENS, BROKEN, LONE = 0.7, 1.25, 1.5
+_PAIRS = re.compile(r"[(（)）]")
+_LONE = re.compile(r"\W*\w{1,2}\W*")
+
+
+def best_path(line: str, nodes: list[tuple[int, int, float]]) -> list[int]:
+    """Places where the dearest path through (end of mark, place of cut, price) cuts the line.
+
+    A path's worth is the sum of its nodes' prices less what its edges cost. An edge costs for
+    a bracket that is open at its end and closed later, and, between neighbours, for a lone
+    token, so the best path to a node comes over its neighbour or over the best before that."""
+    marks = [(m.start(), 1 if m.group() in "(（" else -1) for m in _PAIRS.finditer(line)]
+    later = [0]  # closing brackets from each bracket on
+    for _, x in reversed(marks):
+        later.append(later[-1] + (x < 0))
+    later.reverse()
+    level = opened = 0
+    top = before = (0.0, None)  # the best path so far, and that without the last node
+    last: tuple[float, tuple | None] | None = None
+    at = 0
+    for _, stop, price in nodes:
+        while opened < len(marks) and marks[opened][0] < stop:
+            level = max(0, level + marks[opened][1])
+            opened += 1
+        reach = top
+        if last is not None and last is top and _LONE.fullmatch(line[at:stop]):
+            reach = max((last[0] - LONE, last[1]), before, key=lambda p: p[0])
+        broken = level > 0 and later[opened] > 0
+        last, before, at = (reach[0] + price - 2 * BROKEN * broken, (stop, reach[1])), top, stop
+        if last[0] > top[0]:
+            top = last
+    cuts, path = [], top[1]
+    while path:
+        cuts.append(path[0])
+        path = path[1]
+    return cuts[::-1]
+
+
+def line_sentences(line: str, german: bool, words: Words = NOTHING) -> list[tuple[int, int]]:
     """(start, end) of the sentences of one line."""
     if "฀" <= max(line) and _THAI_GAP.search(line):
         cuts = [(m.start(), m.end()) for m in _THAI_GAP.finditer(line)]
     else:
         cuts = []
     nodes = []
-    depth, seen = 0, 0
     for m in _MARK.finditer(line):
         stop = _AFTER.match(line, m.end()).end()
-        depth += line.count("(", seen, m.start()) + line.count("（", seen, m.start()) - line.count(")", seen, m.start()) - line.count("）", seen, m.start())
-        seen = m.start()
-        inside = depth > 0 and ")" not in line[m.end() : stop] and (")" in line[stop:] or "）" in line[stop:])
-        price = _price(line, m.start(), m.end(), stop, german) - (2.5 if inside else 0.0)
-        nodes.append((stop, price))
-    # cheapest path through the nodes: an edge skips or takes each; ends that speak against themselves cost
-    best: list[tuple[float, tuple | None]] = [(0.0, None)]
-    for stop, price in nodes:
-        total, path = best[-1]
-        best.append((total - price, (stop, path)) if price > 0 else (total, path))
-    ends, path = [], best[-1][1]
-    while path:
-        ends.append(path[0])
-        path = path[1]
+        nodes.append((m.end(), stop, _price(line, m.start(), m.end(), stop, german, words)))
+    ends = best_path(line, nodes) if nodes else []
     gaps = sorted({*[(e, e) for e in ends], *cuts})
     out, last = [], 0
     for a, b in [*gaps, (len(line), len(line))]:
@@ -195,7 +348,7 @@ def line_sentences(line: str, german: bool) -> list[tuple[int, int]]:
     return out
 
 
-def sentences(text: str | None) -> list[tuple[int, int]]:
+def sentences(text: str | None, words: Words = NOTHING) -> list[tuple[int, int]]:
     """(start, end) of every sentence, in code points."""
     out: list[tuple[int, int]] = []
     if not text:
@@ -204,20 +357,21 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     for line in re.split(r"[\n\r  ]", text):
         if line and not line.isspace():
             german = len(_GERMAN.findall(line)) * 25 > len(line.split())
-            out += [(at + a, at + b) for a, b in line_sentences(line, german)]
+            out += [(at + a, at + b) for a, b in line_sentences(line, german, words)]
         at += len(line) + 1
     return out
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, s_start, s_end) of every sentence of every document."""
+    model = spark.sparkContext.broadcast(learn(spark, sf_dir))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, starts, ends = [], [], []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 if isinstance(text, str):
-                    for a, b in sentences(text):
+                    for a, b in sentences(text, model.value):
                         ids.append(doc_id)
                         starts.append(a)
                         ends.append(b)

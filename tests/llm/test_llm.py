@@ -173,7 +173,7 @@ Most read: something
 
 def test_only_the_article_stays():
     pages = [PAGE.format(ARTICLE)] * 5
-    words = boilerplate.learn_words(pages, [])
+    words = boilerplate.learn_words(pages, [f"About us\n{ARTICLE}\n{ARTICLE}"] * 5)
     out, inside = boilerplate.page_lines(words, pages[0])
     lines = pages[0].split("\n")
     assert [lines[i] for i in out] == ['<a href="/a">About us</a>', '<a href="/b">Contact</a>', "Most read: something", "© 2001 Someone. All rights reserved."]
@@ -183,8 +183,42 @@ def test_only_the_article_stays():
     assert boilerplate.body_lines(words, f"About us\n{ARTICLE}\n© 2001 Someone. All rights reserved.")[0] == [0, 2]
 
 
+BOXES = """<html><body>
+<div class="a"><a href="/1">Zu</a> <a href="/2">Ve</a> <a href="/3">Ka</a>
+<a href="/4">Lo</a> <a href="/5">Mi</a></div>
+<div class="b">
+<p>{0}</p>
+<p>{0}</p>
+</div></body></html>"""
+
+
+def test_the_ratio_decides_where_words_are_unknown(monkeypatch):
+    """No tag names, no known words: text against tags alone, for pages and bodies."""
+    words = boilerplate.learn_words([])
+    page = BOXES.format(ARTICLE)
+    assert not words.known and boilerplate.page_lines(words, page) == ([1, 2], [4, 5])
+    assert boilerplate.body_lines(words, f"Zu Ve Ka\n{ARTICLE}\n{ARTICLE}\nLo Mi")[0] == [0, 3]
+    for weight in ("BY_REGION", "BY_LINE", "BY_SIZE"):
+        monkeypatch.setattr(boilerplate, weight, 0.0)
+    monkeypatch.setattr(boilerplate, "CLEAR", 99.0)
+    assert boilerplate.page_lines(words, page) == ([1, 2, 4, 5], [])  # nothing else tells them apart
+
+
+def test_smoothing_joins_a_short_line_to_its_neighbours(monkeypatch):
+    words = boilerplate.learn_words([])
+    body = f"{ARTICLE}\nIt costs 300 euros and ships with a case, a cable and a bag.\n{ARTICLE}"
+    assert boilerplate.body_lines(words, body)[0] == []
+    monkeypatch.setattr(boilerplate, "_smoothed", lambda values: values)
+    assert boilerplate.body_lines(words, body)[0] == [1]
+
+
+def test_thresholds_are_clustered():
+    assert boilerplate.valley({}, 3.0) == boilerplate.valley({"1.0": 4}, 3.0) == 3.0
+    assert boilerplate.valley({"1.0": 10, "1.2": 10, "4.8": 1, "5.0": 1}, 0.0) == pytest.approx(3.0)
+
+
 def test_long_lines_are_judged_as_the_model_was_fitted():
-    words = boilerplate.learn_words([PAGE.format(ARTICLE)] * 5, [])
+    words = boilerplate.learn_words([PAGE.format(ARTICLE)] * 5)
     notice = f"{ARTICLE * 3}We use cookies on your device."
     assert words.score(notice) == -9.0
     line = "The display, the owner. " * 8

@@ -1,11 +1,11 @@
 """Garbled text from wrong character encodings (problem 2).
 
-A character-plausibility cost in bits is learned from ALL texts of the corpus: how often a
+A character-plausibility cost in bits is learned from all bodies and documents: how often a
 character outside ASCII stands between its two neighbours. Words that cost too much are
 put through a best-first search over encode, decode and unescape steps: the open state of
-least cost is taken next, states seen are kept by hash, and the cheapest text reached is
-the repair. Bytes of pages are read by each known charset and the cheapest reading is
-taken for the text as it was written.
+least cost is taken next, states seen are kept in a hash set, and the cheapest text reached
+is the repair. Bytes of pages are read by each known charset, those of ideographs
+included, and the cheapest reading is taken for the text as it was written.
 
 Defined results: null and empty texts cost nothing and are never garbled; U+FFFD stays, as
 what it replaced is lost, but marks the text as garbled; a null or unknown charset counts
@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import spread, table
+from corpusloom.session import dropped, spread, table, written
 
 #: Charsets that bytes may have been in, or been taken for.
 CHARSETS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "iso8859-5", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-latin2")
@@ -44,11 +44,21 @@ USUAL = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "mac-ro
 #: one costs RARE more), what a repair must gain, what it must gain against words of its
 #: own line that are sound, and from where on a word is looked at.
 STEP, RARE, GAIN, AGAINST, ODD = 2.5, 3.0, 5.5, 25.0, 14.0
-#: Steps in a row, and states opened, for one word.
-DEPTH, OPENED = 3, 8
+#: Bits that a stretch of a line must gain as a whole if sound words stand beside it.
+STRETCH = 9.0
+#: Bits over the best text from which a state isn't opened any more, bits over its parent at
+#: most for a state reached through UTF-8 or an escape, and bits under it at least for one
+#: reached between single-byte charsets (any text could be reached by a few of those).
+OVER, WORSE, BETTER = 30.0, 12.0, 12.0
+#: Bits for each place where Latin and Cyrillic letters touch, and for an ideograph unseen.
+MIXED, IDEOGRAPH = 6.0, 20.0
+#: Charsets of ideographs, tried where bytes are in none of the above; all are read strictly.
+IDEOGRAPHIC = ("shift_jis", "euc-jp", "gb18030", "big5", "euc-kr")
 
 _MODELLED = re.compile("[\x80-\u04ff\u2000-\u2bff\ufb00-\ufb06\ufffd]")
 _ESCAPED = re.compile(r"&amp;#?\w+;|&#?\w{2,8};|\+[A-Za-z0-9+/]{3,}-|(?:=[0-9A-F]{2}){2,}|(?:%[0-9A-Fa-f]{2}){2,}|\\u[0-9a-fA-F]{4}|\\x[89a-fA-F][0-9a-fA-F]")
+_TOUCH = re.compile("[A-Za-z\u00c0-\u024f][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z\u00c0-\u024f]")
+_IDEOGRAPH = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _SURE = re.compile("[\x80-\x9f\ufffd\u2500-\u259f]|[\u00c3\u00c2\u0102\u00e2\u00d0\u00d1\u00ce][\x80-\xbf\u0152-\u0178\u02c6-\u2122]")
 
 
@@ -92,6 +102,8 @@ def count_contexts(texts: DataFrame) -> DataFrame:
 
         def flush() -> None:
             for word, n in words.items():
+                for c in _IDEOGRAPH.findall(word):
+                    total["\0" + c] += n
                 for before, c, after in _contexts(word):
                     total[_kind(before) + c + _kind(after)] += n
             words.clear()
@@ -116,6 +128,10 @@ class Plausibility:
     """Bits that a text costs; learned by ``learn``, sent to the tasks once by broadcast."""
 
     def __init__(self, counts: dict[str, int]) -> None:
+        seen = {key[1]: n for key, n in counts.items() if len(key) == 2}
+        counts = {key: n for key, n in counts.items() if len(key) == 3}
+        every = max(sum(seen.values()), 1)
+        self.ideographs = {c: min(IDEOGRAPH, math.log2(every / n)) for c, n in seen.items()}
         total = max(sum(counts.values()), 1)
         self.three: dict[str, float] = {}
         self.left: dict[str, float] = {}
@@ -150,7 +166,7 @@ class Plausibility:
             if len(self._words) > 200_000:
                 self._words.clear()
             cost = sum(self.character(*x) for x in _contexts(word)) + sum(22.0 for c in word if c > "\u04ff" and not _MODELLED.match(c))
-            cost += sum(12.0 for m in _ESCAPED.finditer(word) if not _unescaped(m.group()).isascii())
+            cost += sum(12.0 for m in _ESCAPED.finditer(word) if not _unescaped(m.group()).isascii()) + MIXED * len(_TOUCH.findall(word))
             self._words[word] = cost
         return cost
 
@@ -180,29 +196,48 @@ class Plausibility:
         return found
 
     def _search(self, word: str) -> tuple[str, float, tuple[str, ...]]:
+        """Opens the cheapest state first until none is left that may lead on. Every state is
+        opened once at most, and each step into the heap makes the text shorter (UTF-8,
+        escapes) or much cheaper (single bytes), so the search ends by itself."""
         start = self.word(word)
-        best, seen, opened, tick = (start, word, ()), {hash(word)}, 0, 0
+        best, seen, tick = (start, word, ()), {word}, 0
         heap: list[tuple[float, int, str, tuple[str, ...], float]] = [(start, 0, word, (), 0.0)]
-        while heap and opened < OPENED:
+        while heap:
             cost, _, text, steps, paid = heapq.heappop(heap)
-            opened += 1
-            if len(steps) == DEPTH or cost > best[0] + 30:
-                continue
+            if cost > best[0] + OVER:
+                break
             for step, price, reached in _steps(text):
-                if (h := hash(reached)) in seen:
+                if reached in seen:
                     continue
-                seen.add(h)
-                if not _multibyte(step) and paid + price + self.least(reached) >= best[0]:
-                    continue  # can't be the cheapest, and nothing follows it
+                through = _multibyte(step)
+                if not through and paid + price + self.least(reached) >= max(best[0], cost - BETTER):
+                    continue  # neither the cheapest nor one that leads on
+                seen.add(reached)
                 child = self.word(reached) + paid + price
                 if child < best[0]:
                     best = (child, reached, (*steps, step))
-                # nothing follows a step between single-byte charsets: any text could be reached by a few of those
-                if _multibyte(step) and child < cost + 12:
+                if child < (cost + WORSE if through else cost - BETTER):
                     tick += 1
                     heapq.heappush(heap, (child, tick, reached, (*steps, step), paid + price))
         return best[1], start - best[0], best[2]
 
+    def passage(self, words: list[str], steps: tuple[str, ...]) -> float:
+        """Most bits gained if a stretch of a line's words, in order, went through steps between
+        single-byte charsets as a whole."""
+        best = here = 0.0
+        for word in words:
+            text: str | None = word
+            for step in steps:
+                name, _, other = step.partition(">")
+                data = None if _multibyte(step) else _table(name)[1](text)
+                if data is None:
+                    text = None
+                    break
+                text = _table(other)[2](data)
+            here = 0.0 if text is None else max(0.0, here + self.word(word) - self.word(text))
+            best = max(best, here)
+        return best - STEP
+
     def mend(self, text: str | None) -> tuple[str | None, bool]:
         """The text with its garbled words restored where possible, and whether it is garbled."""
         if not text or (text.isascii() and not _ESCAPED.search(text)):
@@ -211,7 +246,7 @@ class Plausibility:
         if _ESCAPED.search(text):
             words |= {w for w in _split(text) if _ESCAPED.search(w)}
         gains: dict[str, str] = {}
-        doubtful: dict[str, tuple[str, float]] = {}
+        doubtful: dict[str, tuple[str, float, tuple[str, ...]]] = {}
         for word in words:
             if self.odd(word):
                 to, gain, steps = self.repair(word)
@@ -219,13 +254,18 @@ class Plausibility:
                     if _multibyte(steps[-1]) or _SURE.search(word) or gain >= AGAINST:
                         gains[word] = to
                     else:
-                        doubtful[word] = (to, gain)
-        if doubtful:  # a wrong single-byte charset garbles a whole passage, so sound words beside speak against it
+                        doubtful[word] = (to, gain, steps)
+        if doubtful:  # a wrong single-byte charset garbles whole stretches, so sound words beside speak against it
             for line in text.split("\n"):
-                here = {*_words(line)}
+                order = [w for w in _words(line) if w not in gains]
+                here = {*order}
                 if found := here & doubtful.keys():
-                    if len(found) > len(here - found - gains.keys()):
+                    if len(found) > len(here - found):
                         gains |= {w: doubtful[w][0] for w in found}
+                        continue
+                    for steps in {doubtful[w][2] for w in found}:
+                        if self.passage(order, steps) >= STRETCH:
+                            gains |= {w: doubtful[w][0] for w in found if doubtful[w][2] == steps}
         if gains:
             pattern = re.compile("|".join(map(re.escape, sorted(gains, key=len, reverse=True))))
             return pattern.sub(lambda m: gains[m.group()], text), True
@@ -241,6 +281,9 @@ class Plausibility:
             return content.decode("utf-8"), "utf-8"
         except UnicodeDecodeError:
             pass
+        if content[:2] in (b"\xff\xfe", b"\xfe\xff") or content[:400].count(0) * 3 > len(content[:400]):
+            name = "utf-16" if content[:2] in (b"\xff\xfe", b"\xfe\xff") else "utf-16-le" if content[1:400:2].count(0) > content[:400:2].count(0) else "utf-16-be"
+            return content.decode(name, "replace"), name
         some = b" ".join(re.findall(rb"[^\s<>&;\"=]*[\x80-\xff][^\s<>&;\"=]*", content))
         cost = {}
         for name in CHARSETS:
@@ -250,11 +293,30 @@ class Plausibility:
                 words = _table(name)[2](some).split(" ")
             cost[name] = sum(map(self.word, words))
         name = min(CHARSETS, key=cost.get)
+        if self.ideographs:
+            for other in IDEOGRAPHIC:
+                try:
+                    read = content.decode(other)
+                except UnicodeDecodeError:
+                    continue
+                bits = self.ideographic(read)
+                if bits < cost[name]:
+                    cost[other], name = bits, other
         try:
             return content.decode(name), name
         except UnicodeDecodeError:
             return _table(name)[2](content), name
 
+    def ideographic(self, text: str) -> float:
+        """Bits of a text's characters outside ASCII, ideographs by how often the corpus has each;
+        one that stands alone between other letters is no text."""
+        bits = 0.0
+        for run in re.findall(r"[^\x00-\x7f]+", text):
+            found = _IDEOGRAPH.findall(run)
+            bits += sum(self.ideographs.get(c, IDEOGRAPH) for c in found) + (IDEOGRAPH if len(found) == 1 else 0.0)
+            bits += sum(self.word(w) for w in _IDEOGRAPH.sub(" ", run).split(" ") if w)
+        return bits
+
 
 @lru_cache(maxsize=64)
 def _table(name: str):
@@ -331,15 +393,16 @@ def _steps(text: str) -> Iterator[tuple[str, float, str]]:
 
 
 def learn(spark: SparkSession, sf_dir: str) -> Plausibility:
-    """The model over every body and every document's text.
+    """The model over every body and every document's text. Pages have no share in it: which
+    charset they are in is what the model is asked for, and mirrors repeat their damage.
 
     What comes to the driver is bounded at any size: a context needs LEAST_SHARE of all.
     """
     texts = spread(table(spark, sf_dir, "releases").select(F.col("body").alias("t"))).unionByName(spread(table(spark, sf_dir, "documents").select(F.col("text").alias("t"))))
-    counts = count_contexts(texts).persist()
+    counts = written(count_contexts(texts), "charset-contexts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.filter(F.col("n") >= F.lit(max(1, math.ceil(total * LEAST_SHARE)))).collect()
-    counts.unpersist()
+    dropped(counts)
     return Plausibility({r["context"]: r["n"] for r in rows})
 
 

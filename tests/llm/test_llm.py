@@ -108,6 +108,21 @@ def test_bytes_are_read_by_the_cheapest_charset(plausible):
     assert charset.garbled_page(plausible, CLEAN[0].encode(), "cp1250")[1]
 
 
+def test_deep_chains_are_followed(plausible):
+    text = "Größen schöne Käthe Müller"
+    deep = text
+    for _ in range(4):  # four times UTF-8 read as cp1252
+        deep = charset._table("cp1252")[2](deep.encode("utf-8"))
+    assert plausible.mend(deep) == (text, True)
+
+
+def test_bytes_of_ideographs_are_read():
+    counts = {k: 50 for w in charset._words(CLEAN[0]) for k in (charset._kind(b) + c + charset._kind(a) for b, c, a in charset._contexts(w))}
+    model = charset.Plausibility(counts | {"\0" + c: 40 for c in "保証期間は五か月で発売来年二予定す的产品将在明上市価格未测试中达到最高分"})
+    for text, name in (("保証期間は五か月です", "shift_jis"), ("発売は来年の二月です", "euc-jp"), ("产品将在明年上市", "gb18030"), ("für Käthe", "cp1252"), ("Größe", "utf-16")):
+        assert model.read(f"<p>{text}</p>".encode(name))[0].lstrip("\ufeff") == f"<p>{text}</p>"
+
+
 def test_lost_characters_mark_a_text(plausible):
     assert plausible.mend("a� b") == ("a� b", True)
     assert plausible.mend(None) == (None, False)

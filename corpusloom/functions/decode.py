@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.flags import damaged
-from corpusloom.functions.text import undo_c1
+from corpusloom.functions.text import C1_READ, undo_c1
 
 #: Charsets that a UTF-8 text may have been taken for.
 TAKEN_FOR = ("cp1252", "cp1258", "cp1250", "cp1254", "cp1257", "latin-1")
-_DAMAGE = re.compile("[\x80-\x9f]|[ÃÂĂâ][\x80-ſ€]")
-_HIGH = re.compile(r"[^\x00-\x7f]+")
+_LEAD_AND_TRAIL = re.compile("[ÃÂĂâ][\x80-ſ€]")
+_C1 = re.compile("[\x80-\x9f]")
 
 
 def decode_mixed(content: bytes | None) -> str | None:
@@ -50,30 +50,42 @@ def decode_html(content="content") -> Column:
     return F.when(F.is_valid_utf8(as_text), as_text).otherwise(_decode_udf(F.when(~F.is_valid_utf8(as_text), F.col(content))))
 
 
-def undo_mojibake(text: str) -> str | None:
-    """The one text that all charsets which can undo the damage agree on, if it is clean."""
-    found = set()
+def clean(text: str) -> bool:
+    return not (_C1.search(text) or _LEAD_AND_TRAIL.search(text) or "\ufffd" in text)
+
+
+def undo_mojibake(text: str) -> tuple[str, str] | None:
+    """(text, charset) where a charset that could have been taken for UTF-8 gives a clean text,
+    and all that do agree on it; the charset is the first of them."""
+    found: dict[str, str] = {}
     for charset in TAKEN_FOR:
         try:
             back = text.encode(charset).decode("utf-8")
-        except (UnicodeEncodeError, UnicodeDecodeError):
+        except UnicodeError:
             continue
-        if back != text:
-            found.add(back)
-    clean = {t for t in found if not _DAMAGE.search(t) and "�" not in t}
-    return clean.pop() if len(found) == 1 and clean else None
+        if clean(back):
+            found.setdefault(back, charset)
+    return next(iter(found.items())) if len(found) == 1 else None
 
 
 def repaired(text: str | None) -> tuple[str | None, str]:
-    """(text, method): method is 'mojibake', 'c1', both or ''. Repair leaves a repaired text alone."""
-    if not text or not _DAMAGE.search(text):
+    """(text, method): what was done to the whole text, or the text as it was and ''.
+
+    Sequences of a lead and a trail are undone first; if that can't be done for the whole
+    text, nothing is. C1 controls are then read as Windows-1252. A repair that would lose a
+    character isn't made. Repair leaves a repaired text alone.
+    """
+    if not text:
+        return text, ""
+    fixed, method = text, []
+    if _LEAD_AND_TRAIL.search(fixed):
+        if (undone := undo_mojibake(fixed)) is None:
+            return text, ""
+        fixed, method = undone[0], [f"utf8-read-as-{undone[1]}"]
+    if _C1.search(fixed):
+        fixed, method = fixed.translate(C1_READ), [*method, "cp1252-read-as-latin1"]
+    if fixed == text or fixed.count("\ufffd") > text.count("\ufffd"):
         return text, ""
-    whole = undo_mojibake(text)
-    fixed = whole if whole is not None else re.sub(r"[^\s]*[^\x00-\x7f\s][^\s]*", lambda m: undo_mojibake(m.group()) or m.group(), text)
-    method = ["mojibake"] if fixed != text else []
-    c1 = "".join(bytes([ord(c)]).decode("cp1252", "ignore") or c if "\x80" <= c <= "\x9f" else c for c in fixed)
-    if c1 != fixed and c1.count("�") <= text.count("�"):
-        fixed, method = c1, [*method, "c1"]
     return fixed, "+".join(method)
 
 

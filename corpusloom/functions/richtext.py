@@ -14,13 +14,21 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Elements dropped with what they hold; renamed; kept; their attributes.
-DROPPED = frozenset("script style noscript iframe object embed form input button select textarea svg head title link meta".split())
+from corpusloom.functions.decode import repaired
+
+# Fixed values of the subset: elements dropped with what they hold, renamed, kept; the kept
+# ones' attributes; schemes of addresses; blocks of the subset, and other blocks, which
+# become paragraphs where they hold no block; what a table is made of.
+DROPPED = frozenset("script style noscript form iframe object embed applet select option textarea button map svg".split())
 RENAMED = {"b": "strong", "i": "em", "u": "em", "cite": "em", "h1": "h3", "h2": "h3", "h5": "h4", "h6": "h4"}
-KEPT = frozenset("p h3 h4 ul ol li blockquote pre table tr td th strong em a br img sub sup".split())
-ATTRIBUTES = {"a": ("href",), "img": ("src", "alt"), "td": ("colspan", "rowspan"), "th": ("colspan", "rowspan")}
+KEPT = frozenset("p br hr h3 h4 blockquote ul ol li table thead tbody tfoot tr th td strong em sub sup a img".split())
+ATTRIBUTES = {"a": ("href",), "img": ("src", "alt", "title", "width", "height"), "td": ("colspan", "rowspan"), "th": ("colspan", "rowspan")}
 SCHEMES = ("http:", "https:", "mailto:", "ftp:")
-BLOCKS = frozenset("p h3 h4 ul ol li blockquote pre table tr td th div section article main body center dl dd dt".split())
+TABULAR = frozenset("table thead tbody tfoot tr th td".split())
+BLOCKS = frozenset("p h3 h4 blockquote ul ol li hr".split()) | TABULAR
+OTHER_BLOCKS = frozenset("div center section article aside header footer main address dl dt dd pre figure figcaption fieldset legend caption nav details summary".split())
+#: Times that emptied and one-column tables are looked for in turn.
+ROUNDS = 4
 _VOID = frozenset(("br", "img", "hr", "input", "meta", "link", "wbr"))
 _CLOSES = {"p": ("p",), "li": ("li", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"), "tr": ("tr", "td", "th", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p")}
 
@@ -44,7 +52,7 @@ class _Tree(HTMLParser):
         if tag in _CLOSES:
             while len(self.open) > 1 and self.open[-1].tag in _CLOSES[tag]:
                 self.open.pop()
-        elif tag in BLOCKS and self.open[-1].tag == "p":
+        elif tag in (BLOCKS | OTHER_BLOCKS) and self.open[-1].tag == "p":
             self.open.pop()
         element = Element(tag, dict(attrs))
         self.open[-1].children.append(element)
@@ -62,14 +70,37 @@ class _Tree(HTMLParser):
 
 
 def safe_url(url: str | None) -> str | None:
-    """An address of an allowed scheme, or a relative one."""
+    """An address of an allowed scheme, or one without a scheme; white space and controls, which
+    browsers ignore, can't hide a scheme."""
     url = (url or "").strip()
-    head = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*:", re.sub(r"[\x00-\x20]", "", url))
-    return url if url and (not head or head.group().lower() in SCHEMES) else None
+    bare = re.sub(r"[\x00-\x20]", "", url).lower()
+    head = re.split(r"[/?#]", bare, maxsplit=1)[0]
+    return url if bare and (bare.startswith(SCHEMES) or ":" not in head) else None
+
+
+def _text_in(node) -> bool:
+    return bool(node.strip()) if isinstance(node, str) else any(map(_text_in, node.children))
+
+
+def _has(node, tags) -> bool:
+    return isinstance(node, Element) and (node.tag in tags or any(_has(c, tags) for c in node.children))
+
+
+def _kept(tag: str, attrs: dict, children: list) -> list:
+    """An element of the subset with its attributes; a link without an address is its children."""
+    own = {k: v for k, v in attrs.items() if k in ATTRIBUTES.get(tag, ()) and v is not None}
+    for k in ("href", "src"):
+        if k in own and (url := safe_url(own.pop(k))):
+            own[k] = url
+    if tag == "a" and "href" not in own:
+        return children
+    out = Element(tag, own)
+    out.children = children
+    return [out]
 
 
 def _cleaned(node) -> list:
-    """The node in the subset: itself, its children, or nothing."""
+    """The node in the subset: itself, a paragraph, its children, or nothing."""
     if isinstance(node, str):
         return [re.sub(r"\s+", " ", node)]
     if node.tag in DROPPED:
@@ -77,67 +108,96 @@ def _cleaned(node) -> list:
     children = [x for child in node.children for x in _cleaned(child)]
     tag = RENAMED.get(node.tag, node.tag)
     if tag in KEPT:
-        attrs = {k: v for k, v in node.attrs.items() if k in ATTRIBUTES.get(tag, ()) and v}
-        for k in ("href", "src"):
-            if k in attrs:
-                attrs[k] = safe_url(attrs[k])
-        attrs = {k: v for k, v in attrs.items() if v}
-        if tag == "a" and "href" not in attrs or tag == "img" and "src" not in attrs:
-            return children
-        kept = Element(tag, attrs)
-        kept.children = children
-        return [kept]
-    if node.tag in BLOCKS and node.tag != "body" and not any(isinstance(c, Element) and c.tag in BLOCKS for c in children):
-        block = Element("p")
-        block.children = children
-        return [block]
-    return children
+        return _kept(tag, node.attrs, children)
+    return _unwrapped(tag, children)
 
 
-def _holds(node) -> bool:
-    return bool(node.strip()) if isinstance(node, str) else node.tag == "img" or (node.tag == "br") or any(map(_holds, node.children))
+def _unwrapped(tag: str, children: list) -> list:
+    """A block outside the subset: a paragraph if it holds no block, else what it holds."""
+    if tag in OTHER_BLOCKS and not any(_has(c, BLOCKS) for c in children):
+        return _kept("p", {}, children)
+    return children
 
 
 def _pruned(nodes: list) -> list:
+    """Without the blocks that hold nothing; an image counts, but not as all of a table."""
     out = []
     for n in nodes:
-        if isinstance(n, Element) and n.tag not in ("br", "img"):
+        if isinstance(n, Element) and n.tag in BLOCKS and n.tag != "hr" and not _text_in(n) and (n.tag in TABULAR or not _has(n, ("img",))):
+            continue
+        if isinstance(n, Element):
             n.children = _pruned(n.children)
-            if not any(_holds(c) and not (isinstance(c, Element) and c.tag == "br") for c in n.children):
-                continue
         out.append(n)
     return out
 
 
+def _rows(table: Element) -> list[Element]:
+    """A table's own rows, not those of tables inside it."""
+    out = []
+    for c in table.children:
+        if isinstance(c, Element) and c.tag != "table":
+            out += [c] if c.tag == "tr" else _rows(c)
+    return out
+
+
+def _undone(nodes: list) -> tuple[list, bool]:
+    """Tables none of whose rows has two cells as the blocks they stand for, and whether there were any."""
+    out, found = [], False
+    for n in nodes:
+        if not isinstance(n, Element):
+            out.append(n)
+            continue
+        n.children, inside = _undone(n.children)
+        found |= inside
+        if n.tag == "table" and max((sum(isinstance(c, Element) and c.tag in ("td", "th") for c in r.children) for r in _rows(n)), default=0) <= 1:
+            out += _loosened(n)
+            found = True
+        else:
+            out.append(n)
+    return out, found
+
+
+def _loosened(node: Element) -> list:
+    children = [x for c in node.children for x in (_loosened(c) if isinstance(c, Element) and c.tag in TABULAR and c.tag != "table" else [c])]
+    return _unwrapped("div", children)
+
+
+def _blank(node) -> bool:
+    return not node.strip() if isinstance(node, str) else node.tag == "br"
+
+
 def _paragraphs(nodes: list) -> list:
     """Runs of inline nodes between blocks as paragraphs; two breaks end one."""
     out: list = []
     run: list = []
 
     def flush() -> None:
-        while run and (isinstance(run[-1], Element) and run[-1].tag == "br" or isinstance(run[-1], str) and not run[-1].strip()):
+        while run and _blank(run[-1]):
             run.pop()
-        while run and (isinstance(run[0], Element) and run[0].tag == "br" or isinstance(run[0], str) and not run[0].strip()):
+        while run and _blank(run[0]):
             run.pop(0)
         if run:
-            p = Element("p")
-            p.children = run[:]
-            out.append(p)
+            if isinstance(run[0], str):
+                run[0] = run[0].lstrip()
+            if isinstance(run[-1], str):
+                run[-1] = run[-1].rstrip()
+            out.extend(_kept("p", {}, run[:]))
         run.clear()
 
+    breaks = 0
     for n in nodes:
         if isinstance(n, Element) and n.tag in BLOCKS:
             flush()
-            if n.tag == "p":
-                out += _paragraphs(n.children)
-            else:
-                out.append(n)
+            out.append(n)
+            breaks = 0
             continue
-        solid = [x for x in run if not (isinstance(x, str) and not x.strip())]
-        if isinstance(n, Element) and n.tag == "br" and solid and isinstance(solid[-1], Element) and solid[-1].tag == "br":
-            flush()
-        else:
-            run.append(n)
+        if isinstance(n, Element) and n.tag == "br":
+            breaks += 1
+        elif not _blank(n):
+            if breaks > 1:
+                flush()
+            breaks = 0
+        run.append(n)
     flush()
     return out
 
@@ -150,59 +210,100 @@ def _written(node) -> str:
     return f"<{node.tag}{attrs}>" if node.tag in _VOID else f"<{node.tag}{attrs}>{inner.strip() if node.tag in BLOCKS else inner}</{node.tag}>"
 
 
+def _body(root: Element) -> list:
+    """What a page's body holds, or a fragment; a page's head is none of it."""
+    found = _find(root, "body") or _find(root, "html") or root
+    return [c for c in found.children if not (isinstance(c, Element) and c.tag == "head")]
+
+
+def _find(node: Element, tag: str) -> Element | None:
+    for c in node.children:
+        if isinstance(c, Element):
+            if c.tag == tag:
+                return c
+            if c.tag in ("html", "head", "body") and (found := _find(c, tag)):
+                return found
+    return None
+
+
+def _subset(nodes: list) -> list:
+    """Nodes of any markup as top blocks of the subset."""
+    nodes = [x for n in nodes for x in _cleaned(n)]
+    for _ in range(ROUNDS):
+        nodes, found = _undone(_pruned(nodes))
+        if not found:
+            break
+    return _pruned(_paragraphs(nodes))
+
+
 def _tree(source: str) -> list:
-    return _paragraphs(_pruned([x for child in _Tree(source).root.children for x in _cleaned(child)]))
+    return _subset(_body(_Tree(source).root))
+
+
+def _markup(nodes: list) -> str:
+    return "\n".join(map(_written, nodes))
 
 
 def clean(source: str | None) -> str:
     """The subset's markup, a top block a line."""
-    return "\n".join(map(_written, _tree(source or "")))
+    return _markup(_tree(source or ""))
+
 
+_APART = frozenset("p h3 h4 blockquote ul ol table hr".split())
 
-def _walk(node, out: list[str]) -> None:
+
+def _walk(node, out: list[str], place: int = 0) -> None:
     if isinstance(node, str):
-        out.append(re.sub(r"\s+", " ", node))
-        return
-    if node.tag == "br":
+        out.append(node)
+    elif node.tag == "br":
         out.append("\n")
-    elif node.tag in ("ul", "ol"):
-        out.append("\n\n")
-        n = 0
-        for child in node.children:
-            if isinstance(child, Element) and child.tag == "li":
-                n += 1
-                out.append(f"\n{n}. " if node.tag == "ol" else "\n• ")
-                for c in child.children:
-                    _walk(c, out)
-            else:
-                _walk(child, out)
-        out.append("\n\n")
+    elif node.tag == "li":
+        out.append(f"\n{place}. " if place else "\n• ")
+        _inside(node, out)
     elif node.tag == "tr":
-        cells = []
-        for child in node.children:
-            if isinstance(child, Element) and child.tag in ("td", "th"):
-                part: list[str] = []
-                for c in child.children:
-                    _walk(c, part)
-                cells.append(" ".join("".join(part).split()))
-        out.append("\n" + "\t".join(cells))
-    else:
-        block = node.tag in BLOCKS
-        if block:
+        cells: list[str] = []
+        _inside(node, cells)
+        out.append("".join(cells).rstrip("\t") + "\n")
+    elif node.tag in ("td", "th"):
+        part: list[str] = []
+        _inside(node, part)
+        out.append(" ".join("".join(part).split()) + "\t")
+    elif node.tag != "img":
+        apart = node.tag in _APART
+        if apart:
             out.append("\n\n")
-        for child in node.children:
-            _walk(child, out)
-        if block:
+        _inside(node, out)
+        if apart:
             out.append("\n\n")
 
 
-def to_text(markup: str | None) -> str:
-    """Plain text of markup in the subset."""
+def _inside(node: Element, out: list[str]) -> None:
+    n = 0
+    for child in node.children:
+        n += isinstance(child, Element) and child.tag == "li"
+        _walk(child, out, n if node.tag == "ol" else 0)
+
+
+def _plain(nodes: list) -> str:
     out: list[str] = []
-    for node in _tree(markup or ""):
+    for node in nodes:
         _walk(node, out)
-    text = re.sub(r"[ \t]*\n[ \t]*", "\n", "".join(out).replace("\t", "\x00")).replace("\x00", "\t")
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r" {2,}", " ", text)).strip()
+    text = re.sub(r"[ \t]+", lambda m: "\t" if "\t" in m.group() else " ", "".join(out).replace("\xa0", " "))
+    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]*\n[ \t]*", "\n", text)).strip()
+
+
+def to_text(markup: str | None) -> str:
+    """Plain text of markup in the subset."""
+    return _plain(_Tree(markup or "").root.children)
+
+
+def extracted(source: str) -> tuple[str, str]:
+    """(body, body_html) from one tree. A wrong decode is undone on the markup, before the text
+    is made of it, so the text always follows from the markup."""
+    nodes = _tree(source)
+    markup = _markup(nodes)
+    fixed, method = repaired(markup)
+    return (to_text(fixed), fixed) if method else (to_text(markup), markup)
 
 
 _EXTRACTED = T.StructType([T.StructField("body", T.StringType()), T.StructField("body_html", T.StringType())])
@@ -213,8 +314,7 @@ def extract(sources: pd.Series) -> pd.DataFrame:
     """struct(body, body_html): the text always follows from the markup."""
     rows = []
     for s in sources:
-        markup = clean(s) if isinstance(s, str) else None
-        rows.append((None, None) if markup is None else (to_text(markup), markup))
+        rows.append(extracted(s) if isinstance(s, str) else (None, None))
     return pd.DataFrame(rows, columns=["body", "body_html"])
 
 

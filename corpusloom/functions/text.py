@@ -93,12 +93,10 @@ def year_span(first: Column, last: Column) -> Column:
     return F.when(a == b, a).when(a == "", b).when(b == "", a).otherwise(F.concat(a, F.lit("–"), b))
 
 
+#: What Windows-1252 has at the numbers of the C1 controls, without the five it leaves undefined.
+C1_READ = {n: c for n, c in enumerate(bytes(range(256)).decode("cp1252", "replace")) if 0x80 <= n < 0xA0 and c != "\ufffd"}
+
+
 def undo_c1(text: Column) -> Column:
     """C1 controls as the Windows-1252 characters of their numbers; the five undefined ones stay."""
-    pairs = {}
-    for b in range(0x80, 0xA0):
-        try:
-            pairs[chr(b)] = bytes([b]).decode("cp1252")
-        except UnicodeDecodeError:
-            continue
-    return F.translate(text, "".join(pairs), "".join(pairs.values()))
+    return F.translate(text, "".join(map(chr, C1_READ)), "".join(C1_READ.values()))

@@ -110,6 +110,14 @@ def list_sources(releases: DataFrame) -> DataFrame:
     )
 
 
+def companies(tags: DataFrame) -> dict[str, list[str]]:
+    """Company \u2192 its sources in order; the dimension is a fixed table of a few dozen rows."""
+    out: dict[str, list[str]] = {}
+    for r in tags.filter("slug IS NOT NULL").orderBy("ord", "source").collect():
+        out.setdefault(r["slug"], []).append(r["source"])
+    return out
+
+
 def company_of(rows: DataFrame, tags: DataFrame, unknown: str = "other") -> DataFrame:
     """Rows with the slug and label of their source's company; sources without one get ``unknown``."""
     return rows.join(tags.select("source", "slug", "label"), "source", "left").withColumn("slug", F.coalesce("slug", F.lit(unknown))).withColumn("label", F.coalesce("label", F.lit(unknown)))

@@ -1,19 +1,19 @@
 """Full-text search: words, postings, an expression language, BM25, excerpts.
 
 An expression is read into a tree of phrases; a phrase is found by lining its terms'
-postings up (one shuffle by row), trees by joins on the row's id. Postings are kept
-ordered by term, so a query reads the row groups of its own terms only.
+postings up (one shuffle by row), trees by joins on the row's id. A written index keeps
+postings ordered by term, so a query reads the row groups of its own terms only; changes
+are segments beside it.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +47,76 @@ def document_sizes(rows: DataFrame) -> DataFrame:
     return rows.select("id", (F.size(tokens("title")) + F.size(tokens("body"))).alias("len"))
 
 
+@dataclass
+class Index:
+    """Postings (term, id, col, pos), sizes (id, len) and one row of totals (n, average)."""
+
+    postings: DataFrame
+    sizes: DataFrame
+    totals: DataFrame
+
+
+def index_of(rows: DataFrame) -> Index:
+    """An index as a plan over the rows, written nowhere."""
+    sizes = document_sizes(rows)
+    return Index(postings(rows), sizes, totals_of(sizes))
+
+
+def totals_of(sizes: DataFrame) -> DataFrame:
+    return sizes.agg(F.count("*").alias("n"), F.avg("len").alias("average"))
+
+
+_POSTINGS, _SIZES, _GONE = "term string, id long, col int, pos int, seg int", "id long, len int, seg int", "id long, seg int"
+
+
+def _write(rows: DataFrame, gone: DataFrame | None, path: str, seg: int) -> None:
+    """A segment: postings in order of term, so row groups hold few terms each."""
+    postings(rows).repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings/seg={seg}")
+    document_sizes(rows).write.mode("overwrite").parquet(f"{path}/sizes/seg={seg}")
+    (rows.select("id").limit(0) if gone is None else gone.select("id").distinct()).write.mode("overwrite").parquet(f"{path}/gone/seg={seg}")
+
+
 def write_index(rows: DataFrame, path: str) -> None:
-    """Postings in order of term, so row groups hold few terms each, and the rows' sizes."""
-    postings(rows).repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{path}/postings")
-    document_sizes(rows).write.mode("overwrite").parquet(f"{path}/sizes")
+    """The index of all rows, in place of whatever the path held."""
+    spark = rows.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _write(rows, None, path, 0)
+
+
+def update_index(spark: SparkSession, path: str, changed: DataFrame, removed: DataFrame | None = None) -> None:
+    """Rows that came or changed, and ids that went, as one more segment; what older segments
+    hold of them is void from then on. Only the changed rows are read and written."""
+    seg = 1 + spark.read.schema(_GONE).parquet(f"{path}/gone").agg(F.coalesce(F.max("seg"), F.lit(_segments(spark, path) - 1))).first()[0]
+    gone = changed.select("id") if removed is None else changed.select("id").unionByName(removed.select("id"))
+    _write(changed, gone, path, max(seg, _segments(spark, path)))
+
+
+def _segments(spark: SparkSession, path: str) -> int:
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/postings")
+    return len(where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where))
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    """The index as its segments together make it."""
+    gone = spark.read.schema(_GONE).parquet(f"{path}/gone").select(F.col("id").alias("g"), F.col("seg").alias("since"))
+
+    def live(part: str, schema: str) -> DataFrame:
+        rows = spark.read.schema(schema).parquet(f"{path}/{part}")
+        if _segments(spark, path) > 1:
+            rows = rows.join(gone, (F.col("id") == F.col("g")) & (F.col("seg") < F.col("since")), "left_anti")
+        return rows.drop("seg")
+
+    sizes = live("sizes", _SIZES)
+    return Index(live("postings", _POSTINGS), sizes, totals_of(sizes))
+
+
+def compacted(spark: SparkSession, path: str, to: str) -> None:
+    """The index as one segment at another path."""
+    index = open_index(spark, path)
+    index.postings.repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(f"{to}/postings/seg=0")
+    index.sizes.write.mode("overwrite").parquet(f"{to}/sizes/seg=0")
+    index.sizes.select("id").limit(0).write.mode("overwrite").parquet(f"{to}/gone/seg=0")
 
 
 @dataclass
@@ -249,25 +315,28 @@ def matches(index: DataFrame, tree) -> DataFrame:
     return reduce(lambda a, b: a.join(b, "id", "left_anti" if tree.kind == "NOT" else "left_semi"), parts)
 
 
-def bm25(index: DataFrame, sizes: DataFrame, tree) -> DataFrame:
-    """(id, score) of the matching rows; the lower, the better. Ties are open; order by id."""
-    total = sizes.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).first()
-    found, all_of = matches(index, tree), None
-    for phrase in phrases(tree):
-        hits = phrase_places(index, phrase).groupBy("id").agg(F.count("*").alias("f"))
-        n = hits.count()
-        idf = math.log((total["n"] - n + 0.5) / (n + 0.5))
-        hits = hits.withColumn("idf", F.lit(idf if idf > 0 else LEAST_IDF))
-        all_of = hits if all_of is None else all_of.unionByName(hits)
-    scored = all_of.join(found, "id", "left_semi").join(sizes, "id")
-    part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("len") / (total["avg"] or 1)))
+def bm25(index: Index, tree) -> DataFrame:
+    """(id, score) of the matching rows; the lower, the better. Ties are open; order by id.
+
+    One plan: how many rows hold a phrase is joined in, a row a phrase, and the corpus'
+    totals are scalar subqueries."""
+    parts = [phrase_places(index.postings, p).groupBy("id").agg(F.count("*").alias("f")).select(F.lit(k).alias("p"), "id", "f") for k, p in enumerate(phrases(tree))]
+    hits = reduce(DataFrame.unionByName, parts)
+    n, average = (index.totals.select(c).scalar() for c in ("n", "average"))
+    held = hits.groupBy("p").agg(F.count("*").alias("df"))
+    idf = F.ln((n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    held = held.select("p", F.when(idf > 0, idf).otherwise(F.lit(LEAST_IDF)).alias("idf"))
+    found = hits.select("id").distinct() if isinstance(tree, Phrase) else matches(index.postings, tree)
+    scored = hits.join(found, "id", "left_semi").join(index.sizes, "id").join(F.broadcast(held), "p")  # a row a phrase of the expression
+    part = F.col("idf") * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("len") / F.coalesce(average, F.lit(1.0))))
     return scored.groupBy("id").agg((-F.sum(part)).alias("score"))
 
 
-def top(index: DataFrame, sizes: DataFrame, text: str, limit: int = 8, offset: int = 0) -> DataFrame:
-    """The best rows of an expression, to DEEPEST rows deep."""
+def top(index: Index, text: str, limit: int = 8, offset: int = 0) -> DataFrame:
+    """The best rows of an expression, to DEEPEST rows deep; none from there on."""
     tree, _ = read(text)
-    return bm25(index, sizes, tree).orderBy("score", "id").offset(min(offset, DEEPEST)).limit(limit)
+    best = bm25(index, tree).orderBy("score", "id")
+    return best.offset(offset).limit(max(0, min(limit, DEEPEST - offset)))
 
 
 def snippet_of(text: str | None, tree) -> str:

@@ -7,12 +7,14 @@ what is asked for.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import address, flags, text
-from corpusloom.operators import corpus, dedupe, fts, merge
-from corpusloom.session import table
+from corpusloom.operators import corpus, dedupe, fts, merge, search
+from corpusloom.session import shared_dir, spread, table
 from corpusloom.sources import pages
 
 QUERIES: dict = {}
@@ -194,9 +196,13 @@ def join_attachments(spark, d):
     return releases(spark, d).select("id", "url").join(origins(spark, d), "url").join(cache, "origin_url").select("id", "size")
 
 
-@query("SELECT r.id, c.url AS capture FROM releases r JOIN page_cache c ON c.url = 'https://web.archive.example/web/' || r.detail_id || 'id_/' || r.url")
+@query("""SELECT r.id, c.url AS capture FROM (SELECT r.id, r.url, CASE WHEN regexp_matches(detail_id, '^[0-9]{14}$') AND o.url IS NULL THEN detail_id ELSE regexp_extract(o.origin_url, '/web/(\\d{14})id_/', 1) END AS ts FROM releases r LEFT JOIN body_origin o ON r.url = o.url) r
+ JOIN page_cache c ON c.url = 'https://web.archive.example/web/' || r.ts || 'id_/' || r.url""")
 def join_computed_key(spark, d):
-    rows = releases(spark, d).select("id", address.capture_url(F.col("detail_id"), F.col("url")).alias("capture"))
+    """Rows with the cached capture whose address their time and their own address make."""
+    rows = releases(spark, d).select("id", "url", "detail_id").join(origins(spark, d).select("url", "origin_url", F.lit(True).alias("there")), "url", "left")
+    ts = F.when(address.is_timestamp("detail_id") & F.col("there").isNull(), F.col("detail_id")).otherwise(address.timestamp_of("origin_url"))
+    rows = rows.select("id", address.capture_url(ts, F.col("url")).alias("capture"))
     return rows.join(table(spark, d, "page_cache").select(F.col("url").alias("capture")), "capture").select("id", "capture")
 
 
@@ -281,9 +287,11 @@ def top_shapes_per_source(spark, d):
     return shapes.withColumn("k", k).filter("k <= 4").select("source", "shape", "n")
 
 
-@query("SELECT body, count(*) - 1 AS surplus FROM releases WHERE length(body) > 0 GROUP BY body HAVING count(*) > 1")
+@query("SELECT md5(body) AS body_md5, min(id) AS first_id, count(*) - 1 AS surplus FROM releases WHERE length(body) > 0 GROUP BY body HAVING count(*) > 1")
 def surplus_copies(spark, d):
-    return releases(spark, d).filter(F.length("body") > 0).groupBy("body").agg((F.count("*") - 1).alias("surplus")).filter("surplus > 0")
+    """Repeated bodies by their digest; bodies themselves don't travel."""
+    rows = releases(spark, d).filter(F.length("body") > 0).select("id", F.md5("body").alias("body_md5"), F.sha1("body").alias("sha"), F.length("body").alias("n"))
+    return rows.groupBy("body_md5", "sha", "n").agg(F.min("id").alias("first_id"), (F.count("*") - 1).alias("surplus")).filter("surplus > 0").select("body_md5", "first_id", "surplus")
 
 
 # -- windows, one of several --------------------------------------------------------------
@@ -295,7 +303,8 @@ def neighbours(spark, d):
 
 
 def _arrivals(spark, d) -> DataFrame:
-    return releases(spark, d).filter("title <> ''").select("title", "date", "body", F.col("id").alias("ord"))
+    """Arrivals with the length of their texts; bodies don't travel through the aggregate."""
+    return releases(spark, d).filter("title <> ''").select("title", "date", flags.size().alias("size"), F.col("id").alias("ord"))
 
 
 _KEPT = "SELECT title, date, ord FROM (SELECT title, date, id AS ord, row_number() OVER (PARTITION BY title, date ORDER BY {}) AS k FROM releases WHERE title <> '') WHERE k = 1"
@@ -303,7 +312,7 @@ _KEPT = "SELECT title, date, ord FROM (SELECT title, date, id AS ord, row_number
 
 @query(_KEPT.format("length(coalesce(body, '')) DESC, id"))
 def dedupe_longest(spark, d):
-    return dedupe.longest(_arrivals(spark, d), ["title", "date"]).select("title", "date", "ord")
+    return dedupe.keep(_arrivals(spark, d), ["title", "date"], [F.col("size")]).select("title", "date", "ord")
 
 
 @query(_KEPT.format("id"))
@@ -318,16 +327,17 @@ def dedupe_last(spark, d):
 
 @query(_KEPT.format("CASE WHEN lower(url) LIKE '%.php' THEN 0 ELSE 1 END DESC, length(coalesce(body, '')) DESC, id"))
 def dedupe_rank(spark, d):
-    rows = releases(spark, d).filter("title <> ''").select("title", "date", "url", "body", F.col("id").alias("ord"))
-    php = F.coalesce(F.lower("url").endswith(".php"), F.lit(False))
-    return dedupe.keep(rows, ["title", "date"], [F.when(php, 0).otherwise(1), flags.size()]).select("title", "date", "ord")
+    rows = releases(spark, d).filter("title <> ''").select("title", "date", F.when(F.lower("url").endswith(".php"), 0).otherwise(1).alias("kind"), flags.size().alias("size"), F.col("id").alias("ord"))
+    return dedupe.keep(rows, ["title", "date"], [F.col("kind"), F.col("size")]).select("title", "date", "ord")
 
 
 @query(r"""WITH k AS (SELECT id, source, date, lower(trim(regexp_replace(title, '\s+', ' ', 'g'))) AS t, length(coalesce(body, '')) AS s FROM releases WHERE coalesce(date, '') <> ''),
- g AS (SELECT *, first_value(id) OVER w AS twin_id, first_value(s) OVER w AS best FROM k WHERE t <> '' WINDOW w AS (PARTITION BY source, t, date ORDER BY s DESC, id))
+ g AS (SELECT *, first_value(id) OVER w AS twin_id, first_value(s) OVER w AS best FROM k WHERE t <> '' WINDOW w AS (PARTITION BY source, t, length(date) ORDER BY s DESC, id))
  SELECT id, twin_id, best >= 300 AND best >= 3 * s AS accepted FROM g WHERE s < 300 AND id <> twin_id""")
 def twin_pairs(spark, d):
-    return dedupe.twins(releases(spark, d), text.title_key("title"))
+    """Twins by source, title and the form of the date, as the copies' dates are spelled apart."""
+    rows = releases(spark, d).withColumn("date", F.when(F.col("date") != "", F.length("date").cast("string")))
+    return dedupe.twins(rows, text.title_key("title"))
 
 
 _CAPTURES = "SELECT regexp_extract(url, '/web/(\\d{14})id_/', 1) AS ts, substr(url, strpos(url, 'id_/') + 4) AS page, CASE WHEN hex(content) LIKE '25504446%' THEN 0 ELSE octet_length(content) END AS score FROM page_cache WHERE strpos(url, 'id_/') > 0"
@@ -400,7 +410,7 @@ def german_month_year(spark, d):
 # -- writes as plans ----------------------------------------------------------------------
 
 
-@query("SELECT url, CAST(CASE WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN title END AS VARCHAR) AS new_title, coalesce(CASE WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN 'x' || title END, title) AS title FROM (SELECT url, max(id) AS id, arg_max_null(title, id) AS title FROM releases WHERE url IS NOT NULL GROUP BY url)".replace("CAST(CASE WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN title END AS VARCHAR) AS new_title, ", ""))
+@query("SELECT url, coalesce(CASE WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN 'x' || title END, title) AS title FROM (SELECT url, max(id) AS id, arg_max_null(title, id) AS title FROM releases WHERE url IS NOT NULL GROUP BY url)")
 def coalesce_upgrade(spark, d):
     rows = releases(spark, d).filter("url IS NOT NULL").groupBy("url").agg(F.max("id").alias("id"), F.max_by(F.coalesce("title", F.lit("\0")), "id").alias("t")).select("url", "id", F.when(F.col("t") != "\0", F.col("t")).alias("title"))
     updates = rows.select("url", F.when(F.col("id") % 3 == 0, "").when(F.col("id") % 3 == 1, F.concat(F.lit("x"), "title")).alias("title"))
@@ -433,13 +443,26 @@ _TOKENS = f"SELECT id, unnest(regexp_extract_all({_FOLDED}, '[\\p{{L}}\\p{{N}}\\
 _HAS = "SELECT DISTINCT id FROM t WHERE tok = '{}'"
 
 
+_OPEN: dict[tuple[str, str], str] = {}
+
+
+def _index(spark, d) -> fts.Index:
+    """The written index of a folder's releases, made at the first query of a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _OPEN:
+        path = f"{shared_dir(spark).rstrip('/')}/fts-{uuid.uuid4().hex}"
+        fts.write_index(releases(spark, d), path)
+        _OPEN[key] = path
+    return fts.open_index(spark, _OPEN[key])
+
+
 def _search(spark, d, expression):
-    return fts.matches(fts.postings(releases(spark, d)), fts.read(expression)[0])
+    return fts.matches(_index(spark, d).postings, fts.read(expression)[0])
 
 
 @query(f"SELECT tok AS term, count(*) AS n, count(DISTINCT id) AS docs FROM ({_TOKENS}) GROUP BY tok")
 def fts_vocabulary(spark, d):
-    return fts.postings(releases(spark, d)).groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("id").alias("docs"))
+    return _index(spark, d).postings.groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("id").alias("docs"))
 
 
 @query(f"WITH t AS ({_TOKENS}) SELECT id FROM ({_HAS.format('tampere')} INTERSECT {_HAS.format('warranty')})")
@@ -471,21 +494,85 @@ def fts_phrase(spark, d):
  s AS (SELECT count(*)::DOUBLE AS n FROM releases), a AS (SELECT (SELECT sum(len) FROM h) / s.n AS av, s.n FROM s), d AS (SELECT count(*)::DOUBLE AS df FROM h WHERE f > 0)
  SELECT id, round(-(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) > 0 THEN ln((n - df + 0.5) / (df + 0.5)) ELSE 0.000001 END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len / av)), 6) AS score FROM h, a, d WHERE f > 0""")
 def fts_bm25(spark, d):
-    rows = releases(spark, d)
-    return fts.bm25(fts.postings(rows), fts.document_sizes(rows), fts.read("prototype")[0]).select("id", F.round("score", 6).alias("score"))
+    return fts.bm25(_index(spark, d), fts.read("prototype")[0]).select("id", F.round("score", 6).alias("score"))
 
 
 @query()
 def fts_top_matches(spark, d):
     rows = releases(spark, d)
-    page = fts.top(fts.postings(rows), fts.document_sizes(rows), '"noise gate" OR Rauschfilter', 8).join(rows.select("id", "body"), "id")
+    page = fts.top(_index(spark, d), '"noise gate" OR Rauschfilter', 8).join(rows.select("id", "body"), "id")
     return fts.with_snippet(page, '"noise gate" OR Rauschfilter').select("id", F.round("score", 6).alias("score"), "snippet").orderBy("score", "id")
 
 
-@query("SELECT CAST(0 AS BIGINT) AS missing")
+@query(f"""WITH t AS ({_TOKENS}) SELECT (SELECT count(DISTINCT id) FROM t WHERE id % 3 = 0 AND id % 2 = 1) AS missing, (SELECT count(DISTINCT id) FROM t WHERE id % 3 <> 0 AND id % 5 = 0 AND id % 2 = 0) AS orphans""")
 def fts_agreement(spark, d):
+    """An index of part of the rows against another part: what lacks, and what is stale."""
+    rows = releases(spark, d)
+    kept, index = rows.filter("NOT (id % 5 = 0 AND id % 2 = 0)"), fts.postings(rows.filter("id % 3 <> 0 OR id % 2 = 0"))
+    missing = fts.missing(index, kept).agg(F.count("*").alias("missing"))
+    return missing.withColumn("orphans", fts.orphans(index.filter("id % 3 <> 0"), kept).agg(F.count("*")).scalar())
+
+
+@query(f"""WITH t AS ({_TOKENS}) SELECT id FROM t WHERE tok = 'warranty' AND id % 4 <> 0 GROUP BY id UNION SELECT id FROM releases WHERE id % 4 = 0 AND id % 8 = 0 AND body <> ''""")
+def fts_maintained(spark, d):
+    """An index with a segment of changes upon it: every fourth row went, every eighth came back
+    with another text."""
     rows = releases(spark, d)
-    return fts.missing(fts.postings(rows), rows).agg(F.count("*").alias("missing"))
+    path = f"{shared_dir(spark).rstrip('/')}/fts-{uuid.uuid4().hex}"
+    fts.write_index(rows, path)
+    back = rows.filter("id % 8 = 0 AND body <> ''").select("id", F.lit("").alias("title"), F.lit("the warranty").alias("body"))
+    fts.update_index(spark, path, back, rows.filter("id % 4 = 0").select("id"))
+    return fts.matches(fts.open_index(spark, path).postings, fts.read("warranty")[0])
+
+
+@query(f"""WITH t AS ({_TOKENS}), i AS (SELECT DISTINCT id FROM t WHERE tok = 'warranty'), s AS (SELECT id FROM releases WHERE contains({_FOLDED}, 'warranty'))
+ SELECT (SELECT count(*) FROM i) AS indexed, (SELECT count(*) FROM s) AS scanned, (SELECT count(*) FROM i WHERE id NOT IN (SELECT id FROM s)) AS outside""")
+def token_probe(spark, d):
+    """Rows that the index has for a word against a scan of the texts."""
+    found = _search(spark, d, "warranty")
+    both = F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("body", F.lit("")))
+    scanned = releases(spark, d).filter(text.fold(both).contains("warranty")).select("id")
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    return count(found, "indexed").withColumn("scanned", count(scanned, "s").scalar()).withColumn("outside", count(found.join(scanned, "id", "left_anti"), "o").scalar())
+
+
+def _companies(spark, d) -> dict[str, list[str]]:
+    """Those of the table, and the ones asked for here without sources if it lacks them."""
+    return {"brixtone": [], "kelvaro": [], "pazur": []} | corpus.companies(table(spark, d, "source_tags"))
+
+
+_LISTED = "coalesce(r.source, '') AS source, coalesce(title, '') AS title, coalesce(date, '') AS date"
+
+
+@query(f"""WITH t AS ({_TOKENS}), h AS (SELECT DISTINCT id FROM t WHERE tok IN ('garantie', 'garantia'))
+ SELECT r.id, {_LISTED} FROM releases r JOIN h ON r.id = h.id JOIN source_tags s ON r.source = s.source WHERE s.slug = 'brixtone' AND r.date >= '2000' AND {_PLAIN} ORDER BY r.date DESC, r.id DESC LIMIT 21""")
+def search_by_date(spark, d):
+    """A query within a company, a span and a flag, newest first."""
+    request = search.checked({"q": "Garantie OR garantía", "company": "brixtone", "from": "2000", "flags": ["plain"], "order": "date", "limit": "20"}, _companies(spark, d))
+    return search.rows_of(releases(spark, d), origins(spark, d), _index(spark, d), request)[0].select("id", "source", "title", "date")
+
+
+@query(f"""WITH t AS ({_TOKENS}), h AS (SELECT id, count(CASE WHEN tok = 'prototype' THEN 1 END) AS f, count(*)::DOUBLE AS len FROM t GROUP BY id),
+ s AS (SELECT count(*)::DOUBLE AS n FROM releases), a AS (SELECT (SELECT sum(len) FROM h) / s.n AS av, s.n FROM s), d AS (SELECT count(*)::DOUBLE AS df FROM h WHERE f > 0),
+ x AS (SELECT id, round(-(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) > 0 THEN ln((n - df + 0.5) / (df + 0.5)) ELSE 0.000001 END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len / av)), 6) AS score FROM h, a, d WHERE f > 0)
+ SELECT x.id, x.score, {_LISTED} FROM x JOIN releases r ON x.id = r.id WHERE {_TEASER} ORDER BY x.score, x.id LIMIT 11""")
+def search_by_rank(spark, d):
+    """A query among teasers and stubs, best first."""
+    rows, _ = search.rows_of(releases(spark, d), origins(spark, d), _index(spark, d), search.Request(q="prototype", flags=["teaser"], limit=10))
+    return rows.select("id", F.round("score", 6).alias("score"), "source", "title", "date")
+
+
+@query(f"""SELECT r.id, {_LISTED}, substr(coalesce(body, ''), 1, 240) AS excerpt FROM releases r WHERE source IN (SELECT source FROM source_tags WHERE slug IN ('kelvaro', 'pazur')) AND source IN ('kelvaro_news', 'pazur_pl', 'brixton_de') ORDER BY coalesce(date, '') DESC, id DESC LIMIT 31""")
+def search_browse(spark, d):
+    """No query: the newest rows of what sources and companies have in common."""
+    request = search.checked({"source": ["kelvaro_news,pazur_pl", "brixton_de"], "company": "kelvaro,pazur", "limit": "30"}, _companies(spark, d))
+    return search.rows_of(releases(spark, d), origins(spark, d), None, request)[0].select("id", "source", "title", "date", "excerpt")
+
+
+@query(f"""WITH w AS (SELECT id, lag(id) OVER w AS prev_id, lead(id) OVER w AS next_id FROM releases WINDOW w AS (PARTITION BY source ORDER BY coalesce(date, ''), id))
+ SELECT r.id, r.title, {_MOJIBAKE} AS is_damaged, CASE WHEN {_PAGE} <> r.url THEN o.origin_url END AS origin_url, w.prev_id, w.next_id FROM releases r JOIN w ON r.id = w.id LEFT JOIN body_origin o ON r.url = o.url WHERE r.id = 321""")
+def release_detail(spark, d):
+    return search.detail(releases(spark, d), origins(spark, d), 321).select("id", "title", "is_damaged", "origin_url", "prev_id", "next_id")
 
 
 # -- extraction, repair, gates, flows -----------------------------------------------------
@@ -529,13 +616,6 @@ def verify_body_origin(spark, d):
     return rows.groupBy("origin_class", "verdict").agg(F.count("*").alias("n"))
 
 
-@query()
-def catch_up(spark, d):
-    from corpusloom.plans.pipeline import catch_up as run
-
-    return run(releases(spark, d), table(spark, d, "page_cache")).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
 @query()
 def retext(spark, d):
     from corpusloom.plans.pipeline import retext as run
@@ -549,8 +629,10 @@ def gates_between_arrivals(spark, d):
     from corpusloom.operators.gates import safe_to_write
 
     texts = releases(spark, d).filter("title <> '' AND body <> ''")
-    size = F.struct(F.length("body"), "id")
-    pairs = texts.groupBy("title").agg(F.min_by("body", size).alias("old"), F.max_by("body", size).alias("new")).filter("old <> new")
+    size = F.struct(F.length("body").alias("n"), "id")
+    ends = texts.groupBy("title").agg(F.min(size)["id"].alias("old_id"), F.max(size)["id"].alias("new_id")).filter("old_id <> new_id")
+    body = lambda c: texts.select(F.col("id").alias(f"{c}_id"), F.col("body").alias(c))
+    pairs = spread(ends.join(body("old"), "old_id").join(body("new"), "new_id").filter("old <> new"))
     return pairs.select(safe_to_write("old", "new").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
@@ -610,9 +692,12 @@ def group_attachments(spark, d):
     return cache.groupBy(address.base_name("url").alias("name")).agg(F.max(best).alias("b"), F.count("*").alias("copies")).select("name", F.col("b.u").alias("page"), "copies")
 
 
-@query("SELECT url, arg_min(citation, length(coalesce(body, '')) * -1) IS NOT NULL AS cited, max(length(coalesce(body, ''))) AS body_len FROM terratec_early__listing_1 WHERE url IS NOT NULL GROUP BY url".replace("arg_min(citation, length(coalesce(body, '')) * -1) IS NOT NULL", "count(citation) > 0"))
+@query("SELECT url, citation AS origin_url, body_len FROM (SELECT url, citation, length(coalesce(body, '')) AS body_len, row_number() OVER (PARTITION BY url ORDER BY length(coalesce(body, '')) DESC, coalesce(citation, '')) AS k FROM terratec_early__listing_1 WHERE url IS NOT NULL) WHERE k = 1")
 def collector_longest(spark, d):
-    return table(spark, d, "terratec_early__listing_1").filter("url IS NOT NULL").groupBy("url").agg((F.count("citation") > 0).alias("cited"), F.max(flags.size()).alias("body_len"))
+    """The longest entry of each address across the captures of a listing, and which one it came from."""
+    rows = table(spark, d, "terratec_early__listing_1").filter("url IS NOT NULL").select("url", "citation", flags.size().alias("body_len"), F.coalesce("citation", F.lit("")).alias("c"))
+    first = rows.groupBy("url", "body_len").agg(F.min(F.struct("c", "citation")).alias("f"))
+    return first.groupBy("url").agg(F.max_by("f.citation", "body_len").alias("origin_url"), F.max("body_len").alias("body_len"))
 
 
 @query("SELECT CASE WHEN length(coalesce(body, '')) >= 900 THEN 'long' ELSE 'short' END AS part, count(*) AS n FROM releases GROUP BY 1")
@@ -620,9 +705,9 @@ def only_short(spark, d):
     return releases(spark, d).groupBy(F.when(flags.size() >= 900, "long").otherwise("short").alias("part")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT source, min(date) AS first, max(date) AS last FROM releases WHERE date <> '' GROUP BY source ORDER BY first, last, source LIMIT 200")
+@query("SELECT source, min(date) AS first, max(date) AS last FROM releases WHERE date <> '' GROUP BY source ORDER BY first, last, source")
 def sort_sources_chrono(spark, d):
-    return releases(spark, d).filter("date <> ''").groupBy("source").agg(F.min("date").alias("first"), F.max("date").alias("last")).orderBy("first", "last", "source").limit(corpus.PAGE_MOST)
+    return releases(spark, d).filter("date <> ''").groupBy("source").agg(F.min("date").alias("first"), F.max("date").alias("last")).orderBy("first", "last", "source")
 
 
 @query("SELECT id, regexp_matches(coalesce(detail_id, ''), '^[0-9]{14}$') AS is_stamp, coalesce(regexp_matches(lower(regexp_extract(url, '^[^?]*')), '\\.(pdf|doc)$'), false) AS is_attachment FROM releases")

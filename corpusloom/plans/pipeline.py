@@ -11,6 +11,7 @@ from corpusloom.functions.decode import decode_html, repair
 from corpusloom.functions.flags import damaged, mojibake
 from corpusloom.functions.richtext import extract, text_of
 from corpusloom.operators import gates
+from corpusloom.session import spread
 from corpusloom.sources.pages import kind_of
 
 
@@ -24,7 +25,7 @@ def extracted_pages(cache: DataFrame) -> DataFrame:
     """(url, body, body_html) of the HTML pages. Bytes of other kinds never reach the parser:
     the guard is part of its argument, as a filter may be moved behind a UDF."""
     html = F.when(kind_of() == "html", decode_html())
-    return cache.select("url", html.alias("source")).select("url", extract("source").alias("e")).select("url", "e.body", "e.body_html")
+    return spread(cache.select("url", html.alias("source"))).select("url", extract("source").alias("e")).select("url", "e.body", "e.body_html")
 
 
 def verify_origins(releases: DataFrame, origins: DataFrame, cache: DataFrame) -> DataFrame:
@@ -34,8 +35,10 @@ def verify_origins(releases: DataFrame, origins: DataFrame, cache: DataFrame) ->
     page); holds (the page is a stretch of the body); mismatch; no_bytes; not_html.
     """
     rows = origins.join(releases.select("id", "url", "detail_id", "body"), "url")
-    pages = cache.select(F.col("url").alias("origin_url"), kind_of().alias("kind"), F.when(kind_of() == "html", decode_html()).alias("source"))
-    both = rows.join(pages, "origin_url", "left").select("id", address.origin_class().alias("origin_class"), "body", "kind", extract("source").alias("e"))
+    needed = cache.join(origins.select(F.col("origin_url").alias("url")), "url", "left_semi")  # a page is extracted once, however many rows came from it
+    pages = spread(needed.select(F.col("url").alias("origin_url"), kind_of().alias("kind"), F.when(kind_of() == "html", decode_html()).alias("source")))
+    pages = pages.select("origin_url", "kind", extract("source").alias("e"))
+    both = rows.join(pages, "origin_url", "left").select("id", address.origin_class().alias("origin_class"), "body", "kind", "e")
     a, b = (text.word_characters(F.coalesce(F.col(c), F.lit(""))) for c in ("body", "e.body"))
     verdict = F.when(F.col("kind").isNull(), "no_bytes").when(F.col("kind") != "html", "not_html").when(F.col("body").eqNullSafe(F.col("e.body")), "exact").when(gates.same_text("body", "e.body"), "typography").when((F.length(a) > 0) & F.contains(b, a), "inside").when((F.length(b) > 0) & F.contains(a, b), "holds").otherwise("mismatch")
     return both.select("id", "origin_class", verdict.alias("verdict"))
@@ -44,21 +47,18 @@ def verify_origins(releases: DataFrame, origins: DataFrame, cache: DataFrame) ->
 def encoding_report(releases: DataFrame) -> DataFrame:
     """A row a source with damaged bodies: how many, how many the repair mends, by method."""
     rows = releases.filter(damaged() | mojibake()).select("source", "body", repair().alias("r"))
-    return rows.groupBy("source").agg(F.count("*").alias("damaged"), F.count_if(F.col("r.method") != "").alias("repairable"), F.count_if(F.col("r.method").contains("c1")).alias("c1"), F.count_if(F.col("r.method").contains("mojibake")).alias("mojibake"))
+    return rows.groupBy("source").agg(F.count("*").alias("damaged"), F.count_if(F.col("r.method") != "").alias("repairable"), F.count_if(F.col("r.method").contains("latin1")).alias("c1"), F.count_if(F.col("r.method").contains("utf8")).alias("mojibake"))
 
 
-def catch_up(releases: DataFrame, cache: DataFrame) -> DataFrame:
-    """(id, outcome, body, body_html) for rows without markup whose capture is in the cache:
-    upgraded, refused (a gate keeps the old text), empty, missing."""
-    pending = releases.filter("body_html IS NULL").select("id", "body", address.capture_key().alias("capture"))
-    pages = cache.select(F.col("url").alias("capture"), F.when(kind_of() == "html", decode_html()).alias("source"))
-    found = pending.join(pages, "capture", "left").select("id", "body", F.col("source").isNull().alias("missing"), extract("source").alias("e"))
-    reason = gates.safe_to_write("body", "e.body")
-    outcome = F.when(F.col("missing"), "missing").when(F.coalesce(F.col("e.body"), F.lit("")) == "", "empty").when((reason != "lost") & gates.not_shorter("body", "e.body"), "upgraded").otherwise("refused")
-    return found.select("id", outcome.alias("outcome"), F.when(outcome == "upgraded", F.col("e.body")).alias("body"), F.when(outcome == "upgraded", F.col("e.body_html")).alias("body_html"))
+def parsed_pages(cache: DataFrame) -> DataFrame:
+    """(url, title, body, body_html, html) of the cache, as the strategies of ``ingest`` take them."""
+    kind, page = kind_of(), decode_html()
+    rows = spread(cache.select("url", (kind == "html").alias("html"), F.when(kind == "html", page).alias("source")))
+    title = F.trim(F.regexp_replace(F.regexp_extract("source", r"(?is)<h1[^>]*>(.*?)</h1", 1), r"<[^>]*>", ""))
+    return rows.select("url", title.alias("title"), "html", extract("source").alias("e")).select("url", "title", "e.body", "e.body_html", "html")
 
 
 def retext(releases: DataFrame) -> DataFrame:
     """(id, body) of the rows whose text doesn't follow from their markup any more."""
-    rows = releases.filter("body_html IS NOT NULL").select("id", F.col("body").alias("old"), text_of("body_html").alias("body"))
+    rows = spread(releases.filter("body_html IS NOT NULL").select("id", F.col("body").alias("old"), "body_html")).select("id", "old", text_of("body_html").alias("body"))
     return rows.filter(~F.col("old").eqNullSafe(F.col("body"))).select("id", "body")

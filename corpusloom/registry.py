@@ -1,7 +1,7 @@
 """Queries of the core and their SQL."""
 
 from corpusloom.operators import timestamps
-from corpusloom.plans import catalog
+from corpusloom.plans import catalog, flows
 
-QUERIES = {**catalog.QUERIES, "p6_found": timestamps.p6_found}
-SQL: dict[str, str] = {**catalog.SQL}
+QUERIES = {**catalog.QUERIES, **flows.QUERIES, "p6_found": timestamps.p6_found}
+SQL: dict[str, str] = {**catalog.SQL, **flows.SQL}

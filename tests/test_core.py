@@ -1,12 +1,14 @@
 import sqlite3
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given
 from hypothesis import strategies as st
 
 from corpusloom.functions import decode, layout, richtext
-from corpusloom.operators import corpus, dedupe, fts, gates, merge
-from corpusloom.plans.catalog import QUERIES, SQL
+from corpusloom.operators import corpus, dedupe, fts, gates, merge, search
+from corpusloom.plans import ingest
+from corpusloom.registry import QUERIES, SQL
 from corpusloom.sources.versions import Reader, Writer
 
 
@@ -40,12 +42,12 @@ def engines(spark):
     rows = [(i + 1, t.split()[0], t) for i, t in enumerate(TEXTS)]
     other.executemany("INSERT INTO f(rowid, title, body) VALUES (?, ?, ?)", rows)
     mine = spark.createDataFrame(rows, "id long, title string, body string")
-    return other, mine, fts.postings(mine).cache(), fts.document_sizes(mine).cache()
+    return other, mine, fts.index_of(mine)
 
 
 @pytest.mark.parametrize("expression", EXPRESSIONS)
 def test_search_agrees_with_another_engine(engines, expression):
-    other, _, index, sizes = engines
+    other, _, index = engines
     tree, mode = fts.read(expression)
     try:
         expected = dict(other.execute("SELECT rowid, bm25(f) FROM f WHERE f MATCH ?", (expression,)).fetchall())
@@ -56,7 +58,7 @@ def test_search_agrees_with_another_engine(engines, expression):
         expected = dict(other.execute("SELECT rowid, bm25(f) FROM f WHERE f MATCH ?", (literal,)).fetchall())
     if not any(p.terms for p in fts.phrases(tree)):
         return
-    got = {r["id"]: r["score"] for r in fts.bm25(index, sizes, tree).collect()}
+    got = {r["id"]: r["score"] for r in fts.bm25(index, tree).collect()}
     assert got.keys() == expected.keys()
     if "NEAR" not in expression and ":" not in expression and "^" not in expression:
         assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
@@ -140,6 +142,90 @@ def test_cursors():
     assert corpus.next_cursor(rows, 2) == (rows[:2], "d:2:1") and corpus.next_cursor(rows, 5) == (rows, None)
 
 
+def test_index_segments(spark, tmp_path):
+    rows = lambda *x: spark.createDataFrame(x, "id long, title string, body string")
+    path = f"file://{tmp_path}/fts"
+    fts.write_index(rows((1, "a", "noise gate"), (2, None, "noise"), (3, "b", None)), path)
+    fts.update_index(spark, path, rows((2, "c", "gate now"), (4, "d", "noise")), rows((1, None, None)))
+    fts.update_index(spark, path, rows((4, "d", "gate gate")))
+    index = fts.open_index(spark, path)
+    found = lambda i, q: sorted(r["id"] for r in fts.matches(i.postings, fts.read(q)[0]).collect())
+    assert found(index, "noise") == [] and found(index, "gate") == [2, 4] and found(index, "b") == [3]
+    assert sorted(map(tuple, index.sizes.collect())) == [(2, 3), (3, 1), (4, 3)] and index.totals.first()["n"] == 3
+    fts.compacted(spark, path, f"{path}-2")
+    again = fts.open_index(spark, f"{path}-2")
+    assert found(again, "gate") == [2, 4] and sorted(map(tuple, fts.bm25(again, fts.read("gate")[0]).collect())) == sorted(map(tuple, fts.bm25(index, fts.read("gate")[0]).collect()))
+
+
+# search
+
+COMPANIES = {"one": ["a", "b"], "two": ["c"]}
+
+
+@pytest.mark.parametrize("params", [{"flags": "odd"}, {"company": "three"}, {"order": "size"}, {"after": "x:1"}, {"limit": "many"}])
+def test_parameters_that_cannot_be_meant(params):
+    with pytest.raises(search.BadRequest):
+        search.checked(params, COMPANIES)
+
+
+def test_sources_and_companies_intersect():
+    assert search.checked({"source": "a,c", "company": "one"}, COMPANIES).sources == ["a"]
+    assert search.checked({"source": "c", "company": "one"}, COMPANIES).empty
+    assert search.checked({"company": ["one", "two"]}, COMPANIES).sources == ["a", "b", "c"]
+    assert search.checked({"limit": "999", "after": "o:40"}, {}).limit == corpus.PAGE_MOST
+
+
+def test_pages_of_a_search(spark, monkeypatch):
+    monkeypatch.setattr(fts, "DEEPEST", 4)
+    rows = spark.createDataFrame([(i, "ab"[i % 2], None, f"t{i}", f"200{i}", f"u{i}", "noise " * i, None, "full") for i in range(1, 8)], "id long, source string, detail_id string, title string, date string, url string, body string, body_html string, grade string")
+    origins, index = spark.createDataFrame([], "url string, origin_url string"), fts.index_of(rows)
+    first = search.page(rows, origins, index, search.checked({"q": "noise", "limit": "2", "order": "date"}, {}))
+    assert [r["id"] for r in first["results"]] == [7, 6] and first["next"] == "o:2" and not first["truncated"]
+    last = search.page(rows, origins, index, search.checked({"q": "noise", "limit": "2", "order": "date", "after": "o:2"}, {}))
+    assert last["next"] is None and last["truncated"] and "noise" in last["results"][0]["excerpt"]
+    browsed = search.page(rows, origins, None, search.checked({"limit": "3"}, {}))
+    assert browsed["next"] == "d:2005:5" and browsed["query_mode"] is None and len(search.as_lines(browsed, full=True)) == 6
+    onward = search.page(rows, origins, None, search.checked({"limit": "9", "after": browsed["next"]}, {}))
+    assert [r["id"] for r in onward["results"]] == [4, 3, 2, 1] and onward["next"] is None and '"t4"' in search.as_json(onward)
+    assert search.page(rows, origins, index, search.Request(empty=True))["results"] == []
+
+
+# flows
+
+ROWS = "id long, source string, detail_id string, title string, date string, url string, body string, body_html string, grade string"
+PAGE = "url string, title string, body string, body_html string, html boolean"
+
+
+def test_catch_up_writes_text_grade_and_origin_together(spark, tmp_path):
+    at = "https://web.archive.example/web/20010101000000id_/"
+    rows = spark.createDataFrame([(1, "s", "20010101000000", "", "2001", "http://x/a", "old", None, "teaser"), (2, "s", None, "T", "2001", "http://x/b", "same text", None, "teaser"), (3, "s", None, "T", "2002", "http://x/c", "x" * 20, None, "stub"), (4, "s", "20030303000000", "t ", "2002", "http://x/d", "long " * 100, "<p>", "full"), (5, "s", None, "T", "2002", "http://x/e.PDF?q", "", None, "full")], ROWS)
+    origins = spark.createDataFrame([("http://x/b", at + "http://x/list"), ("http://x/c", at + "http://x/list")], "url string, origin_url string")
+    pages = spark.createDataFrame([(at + "http://x/a", " New ", "old and new", "<p>old and new</p>", True), (at + "http://x/list", "", "other text", "<p>other text</p>", True)], PAGE)
+    key = F.lower("title")
+    after, recorded, report = ingest.catch_up(rows, origins, F.trim(key), pages=pages, twins=True)
+    got = {r["id"]: r for r in after.collect()}
+    assert (got[1]["body"], got[1]["title"], got[1]["grade"], got[1]["body_html"]) == ("old and new", "New", "full", "<p>old and new</p>")
+    assert got[2]["body"] == "same text" and got[2]["grade"] == "teaser"  # another page's text differs
+    assert got[3]["body"] == "long " * 100 and got[3]["detail_id"] == "20030303000000"  # its twin's
+    assert dict(map(tuple, recorded.collect())) == {"http://x/a": at + "http://x/a", "http://x/b": at + "http://x/list"}
+    assert {tuple(r) for r in report.collect()} == {("cache", "upgraded", 1), ("cache", "skipped", 3), ("twins", "upgraded", 2)}
+    writer = Writer(spark, f"file://{tmp_path}/v")
+    ingest.commit(writer, after, recorded)
+    assert Reader(spark, f"file://{tmp_path}/v").table("releases").count() == 5
+    again = ingest.catch_up(after, recorded, F.trim(key), twins=True)[2]
+    assert again.count() == 0  # nothing is left to fill
+
+
+def test_found_items_are_stored_once_with_new_ids(spark):
+    rows = spark.createDataFrame([(7, "s", None, "T", "2001", "http://x/a", "b", None, "full")], ROWS)
+    none = spark.createDataFrame([], "url string, origin_url string")
+    items = spark.createDataFrame([("http://x/a", "t", "", None, 1), ("http://x/n", "FÃ¼r", "", None, 2), ("http://x/n", "later", "", None, 3), ("http://x/m", "t", "", None, 4)], "url string, title string, date string, detail_id string, ord int")
+    result = ingest.from_items(rows, items, spark.createDataFrame([("http://x/n", "text", None)], "url string, body string, body_html string"))
+    assert {r["url"]: r["outcome"] for r in result.collect()} == {"http://x/a": "skipped", "http://x/n": "added", "http://x/m": "uncertain"}
+    after = ingest.applied(rows, none, result, "s")[0]
+    assert {(r["id"], r["title"], r["grade"]) for r in after.collect()} == {(7, "T", "full"), (8, "Für", "full")}
+
+
 # texts
 
 def test_decoding_mixes():
@@ -161,6 +247,9 @@ MARKUP = [
     ("<table><tr><td>a<td>b<tr><td>c</table>", "a\tb\nc"),
     ("", ""),
     ("<p> </p><p><br></p>", ""),
+    ("<table><tr><td><h1>t</h1>x</td></tr></table><hr>y", "t\n\nx\n\ny"),
+    ("<html><head><title>no</title></head><body><font>a</font><form>no</form>b</body>", "ab"),
+    ("<table><tbody><tr><th>a<td>b<tr><td><img src=x>", "a\tb"),
 ]
 
 

@@ -87,6 +87,27 @@ def german_date(text) -> Column:
     return F.when((part(numeric, 0) != "") & (place(numeric) <= place(named)), by_number).when(part(named, 0) != "", by_name).when(part(english, 0) != "", by_english).otherwise("")
 
 
+def month_year(title: Column) -> Column:
+    """struct(title, date): a title that ends in a month and a year, in words, split into what
+    stands before them and ``YYYY-MM``; others as they are, with ''."""
+    words = "|".join(sorted(MONTH_NUMBERS, key=len, reverse=True))
+    pattern = rf"(?iu)^(.*?)[\s,(–-]*\b({words})\s+(\d{{4}})\)?\s*$"
+    part = lambda i: F.regexp_extract(title, pattern, i)
+    date = month_date(part(3), part(2))
+    return F.struct(F.when(part(3) != "", part(1)).otherwise(title).alias("title"), F.when(part(3) != "", date).otherwise("").alias("date"))
+
+
+def month_range_date(text: Column) -> Column:
+    """``YYYY-MM`` of a name such as ``news_0304``, ``roundup-2003-04`` or ``april2003``; ''."""
+    words = "|".join(sorted(MONTH_NUMBERS, key=len, reverse=True))
+    low = F.lower(text)
+    full, short = r"((?:19|20)\d{2})[-_]?(0[1-9]|1[0-2])(?!\d)", r"(?<!\d)(\d{2})(0[1-9]|1[0-2])(?!\d)"
+    named = rf"(?:^|[^a-zäöü])({words})[-_]?((?:19|20)\d{{2}})"
+    x = lambda p, i: F.regexp_extract(low, p, i)
+    century = F.when(x(short, 1) >= "70", "19").otherwise("20")
+    return F.when(x(named, 0) != "", month_date(x(named, 2), x(named, 1))).when(x(full, 0) != "", F.concat_ws("-", x(full, 1), x(full, 2))).when(x(short, 0) != "", F.concat(century, x(short, 1), F.lit("-"), x(short, 2))).otherwise("")
+
+
 def year_span(first: Column, last: Column) -> Column:
     """'2002–2006', a single year, or ''."""
     a, b = F.substring(F.coalesce(first, F.lit("")), 1, 4), F.substring(F.coalesce(last, F.lit("")), 1, 4)

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import address, flags
+from corpusloom.session import written
 
 #: Rows of a page at most and by default; code points of an excerpt without a query.
 PAGE_MOST, PAGE, EXCERPT = 200, 50, 240
-#: Rows that lie so far apart by id within one date are ordered in another task.
-ID_RANGE = 50_000
 
 
 def list_rows(releases: DataFrame, origin: DataFrame) -> DataFrame:
@@ -66,18 +65,20 @@ def parse_cursor(text: str | None) -> tuple[str, tuple[str, int] | int] | None:
 def neighbours(releases: DataFrame) -> DataFrame:
     """(id, prev_id, next_id) in the order of date and id within a source.
 
-    A source may hold a third of all rows, so no window spans one: rows are windowed within
-    a source's date (and range of ids), and the ends of those groups are linked through a
-    table that has a row a group.
+    A source may hold a third of all rows, so no window spans one: rows are cut into ranges
+    of (source, date, id), windowed within each, and the ranges' ends are linked through a
+    table that has a row a range.
     """
-    rows = releases.select("id", "source", F.coalesce("date", F.lit("")).alias("d"), F.floor(F.col("id") / ID_RANGE).alias("r"))
-    within = Window.partitionBy("source", "d", "r").orderBy("id")
-    rows = rows.withColumn("p", F.lag("id").over(within)).withColumn("n", F.lead("id").over(within))
-    ends = rows.groupBy("source", "d", "r").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    groups = Window.partitionBy("source").orderBy("d", "r")
-    ends = ends.withColumn("before", F.lag("last").over(groups)).withColumn("behind", F.lead("first").over(groups)).select(F.col("source").alias("s"), F.col("d").alias("gd"), F.col("r").alias("gr"), "before", "behind")
-    linked = rows.join(ends, F.col("source").eqNullSafe(F.col("s")) & (F.col("d") == F.col("gd")) & (F.col("r") == F.col("gr")))
-    return linked.select("id", F.coalesce("p", "before").alias("prev_id"), F.coalesce("n", "behind").alias("next_id"))
+    rows = releases.select("id", "source", F.coalesce("date", F.lit("")).alias("d"))
+    rows = written(rows.repartitionByRange("source", "d", "id").withColumn("part", F.spark_partition_id()), "neighbours-ranges")
+    within = Window.partitionBy("part").orderBy("source", "d", "id")
+    row = F.struct("source", "id")
+    ends = rows.groupBy("part").agg(F.min(F.struct("source", "d", "id")).alias("first"), F.max(F.struct("source", "d", "id")).alias("last"))
+    along = Window.orderBy("part")  # a row a range
+    ends = ends.select("part", F.lag("last").over(along).alias("before"), F.lead("first").over(along).alias("behind"))
+    linked = rows.withColumn("p", F.lag(row).over(within)).withColumn("n", F.lead(row).over(within)).join(ends, "part")
+    same = lambda near, far: F.when(F.col(near).isNotNull(), F.when(F.col(f"{near}.source").eqNullSafe(F.col("source")), F.col(f"{near}.id"))).otherwise(F.when(F.col(f"{far}.source").eqNullSafe(F.col("source")), F.col(f"{far}.id")))
+    return linked.select("id", same("p", "before").alias("prev_id"), same("n", "behind").alias("next_id"))
 
 
 def release(releases: DataFrame, origin: DataFrame, release_id: int) -> DataFrame:

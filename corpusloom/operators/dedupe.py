@@ -58,3 +58,12 @@ def best_capture(captures: DataFrame) -> DataFrame:
     rows = rows.join(third, "page", "left").filter(good & ((F.col("ts") == F.col("t1")) | (F.col("ts") == F.col("t2")) | (F.col("ts") == F.col("t3"))))
     chosen = rows.groupBy("page").agg(F.max_by(F.struct("ts", "score"), F.struct("score", (-F.col("ts").cast("decimal(14,0)")).alias("o"))).alias("c"))
     return base.join(chosen, "page", "left").select("page", F.col("c.ts").alias("ts"), F.col("c.score").alias("score"), "earliest", "complete")
+
+
+def selection_overrides(captures: DataFrame) -> DataFrame:
+    """(page, taken, taken_score, passed, passed_score, why): pages whose chosen capture is not
+    their earliest; ``passed_score`` is null where the earliest could not be fetched."""
+    first = captures.groupBy("page").agg(F.min_by("score", F.struct("ts", (-F.coalesce("score", F.lit(-1))).alias("s"))).alias("passed_score"))
+    rows = best_capture(captures).filter("ts IS NOT NULL AND ts <> earliest").join(first, "page")
+    why = F.when(F.col("passed_score").isNull(), "unreachable").when(F.col("passed_score") <= 0, "no text").otherwise("less text")
+    return rows.select("page", F.col("ts").alias("taken"), F.col("score").alias("taken_score"), F.col("earliest").alias("passed"), "passed_score", why.alias("why"))

@@ -12,3 +12,11 @@ COLUMNS = {
 }
 #: Closed set of grades, best first.
 GRADES = ("full", "teaser", "stub")
+
+#: Types of the corpus' own tables, in the order of their columns.
+TYPES = {
+    "releases": "id long, source string, detail_id string, title string, date string, url string, body string, body_html string, grade string",
+    "page_cache": "url string, content binary, id_content_type string, fw_guessed_charset string, bs4_encoding string, content_sha256 string, fetched_at double",
+    "body_origin": "url string, origin_url string",
+    "wayback_calls": "id long, ts double, kind string, url string, attempt int, timeout_budget double, outcome string, duration double",
+}

@@ -36,12 +36,13 @@ def sessions(calls: DataFrame) -> DataFrame:
 
 
 def upsert_stream(rows: DataFrame, writer: Writer, checkpoint: str):
-    """Arriving releases (with ``ord``) into the versioned table, a commit a batch. A batch
-    that is run again finds its urls stored and adds nothing."""
+    """Arriving releases (with ``ord``) into the versioned table, an append a batch: only the
+    stored keys are read and only new rows written. A batch that is run again finds its
+    urls stored and adds nothing."""
 
     def commit(batch: DataFrame, number: int) -> None:
-        stored = writer.table("releases")
-        new = insert_or_ignore(stored, batch.withColumn("ord", F.coalesce("ord", F.monotonically_increasing_id())))
-        writer.commit({"releases": stored.unionByName(new, allowMissingColumns=True)})
+        keys = writer.table("releases").select("id", "url")
+        new = insert_or_ignore(keys, batch.withColumn("ord", F.coalesce("ord", F.monotonically_increasing_id())))
+        writer.commit({"releases": new}, append=True)
 
     return rows.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)

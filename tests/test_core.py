@@ -1,3 +1,4 @@
+import re
 import sqlite3
 
 import pytest
@@ -5,10 +6,12 @@ from pyspark.sql import functions as F
 from hypothesis import given
 from hypothesis import strategies as st
 
-from corpusloom.functions import decode, layout, richtext
+from corpusloom.functions import containers, decode, layout, quality, richtext
+from corpusloom.functions import text as text_functions
 from corpusloom.operators import corpus, dedupe, fts, gates, merge, search
 from corpusloom.plans import ingest
 from corpusloom.registry import QUERIES, SQL
+from corpusloom.sources import fetch, pages, versions
 from corpusloom.sources.versions import Reader, Writer
 
 
@@ -77,10 +80,10 @@ def test_snippets_mark_the_hits(engines):
 ROWS = st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from(["", "2001-01-01", "2002"]), st.text("xyz ", max_size=8)), max_size=25)
 
 
-def test_neighbours_link_all_rows_of_a_source(spark, monkeypatch):
-    monkeypatch.setattr(corpus, "ID_RANGE", 7)
+def test_neighbours_link_all_rows_of_a_source(spark):
     rows = [(i, "ab"[i % 3 == 0], ["", "2001", "2002"][i % 5 % 3], None) for i in range(60)]
     got = {r["id"]: (r["prev_id"], r["next_id"]) for r in corpus.neighbours(spark.createDataFrame(rows, "id long, source string, date string, url string")).collect()}
+    assert len(got) == 60
     for s in "ab":
         line = [r[0] for r in sorted((r for r in rows if r[1] == s), key=lambda r: (r[2], r[0]))]
         for before, here, after in zip([None, *line], line, [*line[1:], None]):
@@ -134,6 +137,81 @@ def test_versions_show_whole_commits(spark, tmp_path):
     assert reader.table("t").count() == 2
 
 
+def test_appends_write_new_rows_alone(spark, tmp_path, monkeypatch):
+    one = lambda i: spark.createDataFrame([(i,)], "id long")
+    writer = versions.init_schema(spark, f"file://{tmp_path}/v")
+    assert versions.init_schema(spark, f"file://{tmp_path}/v").version() == 1 and writer.table("releases").count() == 0 and writer.table("page_cache").columns[0] == "url"
+    writer.commit({"t": one(1)})
+    for i in (2, 3):
+        writer.commit({"t": one(i)}, append=True)
+    assert sorted(r["id"] for r in writer.table("t").collect()) == [1, 2, 3] and len(writer._state()["parts"]["t"]) == 3
+    monkeypatch.setattr(versions, "MOST_PARTS", 3)
+    writer.commit({"t": one(4)}, append=True)
+    assert sorted(r["id"] for r in writer.table("t").collect()) == [1, 2, 3, 4] and len(writer._state()["parts"]["t"]) == 1
+    assert writer.table("releases").count() == 0
+
+
+def test_stores_keep_an_address_once(spark):
+    cache = spark.createDataFrame([("a", b"old", 1.0, "x")], "url string, content binary, fetched_at double, content_sha256 string")
+    new = spark.createDataFrame([("a", b"n1", 2.0), ("b", b"b1", 3.0), ("b", b"b2", 4.0)], "url string, content binary, fetched_at double")
+    kept = lambda df: sorted((r["url"], bytes(r["content"])) for r in df.collect())
+    assert kept(pages.store(cache, new)) == [("a", b"old"), ("b", b"b1")]
+    assert kept(pages.store(cache, new, replace=True)) == [("a", b"n1"), ("b", b"b2")]
+
+
+def fake_fetcher(url, timeout):
+    """For ``sources.fetch``: by the address's last letter."""
+    if url.endswith("t"):
+        raise TimeoutError
+    if url.endswith("c"):
+        raise ConnectionError
+    return b"<p>" + url.encode(), "text/html; charset=UTF-8", {"r": 503}.get(url[-1], 200)
+
+
+def test_fetching_through_the_cache(spark, tmp_path):
+    cache = spark.createDataFrame([("http://x/a", b"cached", "text/html")], "url string, content binary, id_content_type string")
+    urls = spark.createDataFrame([(f"http://{h}/{x}",) for h, x in (("x", "a"), ("x", "b"), ("www.x", "t"), ("y", "c"), ("y", "r"), ("y", "r"))], "url string")
+    there, new = fetch.fetch_cached(cache, urls, "tests.test_core:fake_fetcher", pause=0.0, backoff=0.0, cooldown=0.01)
+    new = new.cache()
+    assert sorted((r["url"], bytes(r["content"])) for r in there.collect()) == [("http://x/a", b"cached"), ("http://x/b", b"<p>http://x/b")]
+    assert {r["url"]: (r["outcome"], len(r["calls"])) for r in new.collect()} == {"http://x/b": ("ok", 1), "http://www.x/t": ("timeout", 3), "http://y/c": ("connection_error", 3), "http://y/r": ("503", 3)}
+    assert fetch.append_calls(fetch.call_rows(new), f"{tmp_path}/calls") and spark.read.parquet(f"{tmp_path}/calls").count() == 10
+    assert not fetch.append_calls(fetch.call_rows(new), "odd-scheme://nowhere/at/all")
+    assert [(r["fw_guessed_charset"], len(r["content_sha256"])) for r in fetch.cache_rows(new).collect()] == [("utf-8", 64)]
+
+
+PAGE_OF = '<html><body><table width="600"><tr><td class="nav">Menu</td><td width="400"><p>{}</p><b>Infos bei:</b> us</td></tr></table></body></html>'
+
+
+def test_containers_and_cuts():
+    body = "The article goes on for quite some length here. " * 5
+    shape, path, coverage = containers.located(PAGE_OF.format(body), body)
+    assert (shape, path) == ("p", 'td[width="400"] < tr < table[width="600"]') and 0.9 < coverage <= 1.1
+    assert containers.located(PAGE_OF.format("other"), body) is None and containers.located(None, body) is None and containers.located("<p>x", "short") is None
+    root = containers.tree(PAGE_OF.format(body))
+    assert containers.shape(containers.densest(root, "td")) == 'td[width="400"]' and containers.densest(root, "ul") is None
+    assert containers.shape(containers.densest(root, "td", {"class": "^n"})) == 'td[class="nav"]'
+    assert containers.cut_from(root, re.compile("Infos bei:")) and "us" not in containers.words_in(root).split() and not containers.cut_from(root, re.compile("nowhere"))
+
+
+def test_conversion_measures(spark):
+    markup = "<p>Press</p><h3>Head</h3><p>one two - three</p><p>Press</p>"
+    assert quality.first_heading(markup) == 1 and quality.furniture(markup) == 1 and len(quality.top_blocks(markup)) == 4
+    assert quality.artefacts("the gate the gate cost 129.99.x and mixerDesk") == (1, 1, 1) and quality.retention("a b c d", "a b c") == 0.75
+    rows = spark.createDataFrame([("a b c d", markup, "a b c"), ("x\n" * 12, "<p>x</p>", "x " * 12), ("a b", "<p>a b</p><p>c</p>", "a b"), (None, None, None)], "text string, body_html string, body string")
+    measured = rows.withColumn("m", quality.measure("text", "body_html", "body"))
+    assert [r[0] for r in measured.select(quality.verdict(F.col("m"))).collect()] == ["refused", "degenerate", "passed", "refused"]
+    assert quality.defect_counts(measured).first()["no_heading"] == 3 and quality.defect_counts(measured.limit(0)).first()["furniture"] == 0
+    cards = quality.review_cards(measured.select(F.lit("n<").alias("name"), F.lit("v").alias("verdict"), "m.retention", "text", "body", "body_html"))
+    assert all("n&lt;" in r[0] and "\n" not in r[0] for r in cards.collect())
+
+
+def test_names_with_a_month(spark):
+    names = [("news_0304", "2003-04"), ("roundup-2003-04.htm", "2003-04"), ("april2003", "2003-04"), ("x9912", "1999-12"), ("none", ""), (None, "")]
+    df = spark.createDataFrame(names, "n string, want string")
+    assert all(r["got"] == r["want"] for r in df.select(text_functions.month_range_date(F.coalesce("n", F.lit(""))).alias("got"), "want").collect())
+
+
 def test_cursors():
     assert corpus.parse_cursor("d:2001-01-01:5") == ("d", ("2001-01-01", 5)) and corpus.parse_cursor("o:20") == ("o", 20) and corpus.parse_cursor("") is None
     with pytest.raises(ValueError):

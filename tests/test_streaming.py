@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from corpusloom.sources.captures import CaptureIndex
@@ -49,3 +51,14 @@ def test_capture_index_reads_a_file(spark, tmp_path):
     assert reader.option("urls", "http://x/a\nhttp://x/b").load().count() == 2
     assert reader.option("urls", "http://x/").option("prefix", "true").load().select(F.max("timestamp")).first()[0] == "20020101000000"
     assert reader.option("urls", "").load().count() == 0
+
+
+def test_an_answer_that_is_not_whole_is_an_error(spark, tmp_path):
+    with open(tmp_path / "c.jsonl", "w") as out:
+        for host in ("http://x/a", "https://www.x/A/", "http://x/b"):
+            out.write(json.dumps({"timestamp": "20010101000000", "url": host, "status": "200"}) + "\n")
+    spark.dataSource.register(CaptureIndex)
+    reader = spark.read.format("captures").option("fetcher", "corpusloom.sources.captures:from_file").option("file", str(tmp_path / "c.jsonl")).option("prefix", "true").option("urls", "http")
+    assert reader.load().count() == 3 and reader.option("collapse", "true").load().count() == 2
+    with pytest.raises(Exception, match="more than 2"):
+        reader.option("limit", "2").load().collect()

@@ -2,17 +2,19 @@
 
 Nearest-centroid classification. Texts become normalised TF-IDF vectors of hashed
 character trigrams; each language has several centroids, found by spherical k-means, so
-that its registers may differ. Every sentence is compared with all centroids by cosine;
-what is too far from all of them is rejected. A best path over a body's sentences, with a
-price for each change of language, then joins sentences to segments with a confidence.
-
-The centroids are fitted on a bounded sample of labelled documents (SAMPLE a language, by
-hash of the id). Labels may be wrong: a sample text nearer to another language's centroid
+that its registers may differ. Every sentence is compared with all centroids by cosine; one
+that is too far from all of them says nothing. A best path over a body's sentences, with a
+price for each change of language, then joins sentences to segments with a confidence. A
+segment long enough to tell that lies far from all of them, and hardly nearer to its own
+language than to another, is rejected: its language is UNKNOWN.
+
+The centroids and the IDF are fitted on a bounded sample of labelled documents (SAMPLE a
+language, of at most LONGEST characters, by hash of the id). Labels may be wrong: a sample text nearer to another language's centroid
 than to its own is put aside before the clusters are formed. All bodies are classified
 whole.
 
-Defined results: null, empty and letterless bodies have no language; sentences that are
-rejected or hold few letters take the language of the sentences around them.
+Defined results: null, empty and letterless bodies have no language; sentences that say
+nothing or hold few letters take the language of the sentences around them.
 """
 
 from __future__ import annotations
@@ -30,12 +32,18 @@ from corpusloom.llm.residue import residue_records
 from corpusloom.session import spread, table
 
 LANGUAGES = ("de", "en", "es", "fr", "pl", "ru")
-#: Labelled documents a language that the centroids are fitted on, at most.
-SAMPLE = 150
+#: Label of segments in none of them.
+UNKNOWN = "und"
+#: Labelled documents a language that the centroids are fitted on, at most, and their longest.
+SAMPLE, LONGEST = 150, 50_000
 #: Centroids a language, and buckets that trigrams are hashed to.
 CLUSTERS, BUCKETS = 3, 1 << 14
 #: Least cosine of a sentence to some centroid; price of a change of language; weight of the evidence.
 NEAR, CHANGE, WEIGHT = 0.05, 3.0, 1.0
+#: Trigrams from which a segment can be rejected; cosine under which it is far from all, and
+#: how much nearer it must then be to its language than to the next; the mean of its
+#: sentences' margins under which that is looked at.
+ENOUGH, FAR, MARGIN, DOUBT = 100, 0.25, 0.07, 0.15
 #: Code points from which a segment counts as a passage.
 PASSAGE = 60
 
@@ -154,7 +162,7 @@ def segments(model: Centroids, text: str) -> list[tuple[int, int, str, float]]:
     known = cos.max(axis=1) >= NEAR
     evidence = WEIGHT * np.log((cos + 0.03) / (cos.max(axis=1, keepdims=True) + 0.03)) * np.sqrt(sizes)[:, None] * known[:, None]
     if not known.any():
-        return []
+        return [(spans[0][0], spans[-1][1], UNKNOWN, round(float(1 - cos.max()), 4))] if sizes.sum() >= ENOUGH else []
     steps = evidence.tolist()
     best, back = steps[0], []
     for step in steps[1:]:
@@ -168,20 +176,34 @@ def segments(model: Centroids, text: str) -> list[tuple[int, int, str, float]]:
     path.reverse()
     share = np.exp(8 * (cos - cos.max(axis=1, keepdims=True)))
     share /= share.sum(axis=1, keepdims=True)
+    two = np.partition(cos, -2, axis=1)[:, -2:] if cos.shape[1] > 1 else np.stack([np.zeros(len(cos)), cos[:, 0]], axis=1)
+    apart = (two[:, 1] - two[:, 0]) * sizes
     out: list[list] = []
     for i, ((a, b), lang) in enumerate(zip(spans, path)):
         weight = float(sizes[i]) if known[i] else 0.0
         if out and out[-1][2] == lang and "\n" not in text[out[-1][1] : a]:
-            out[-1][1], out[-1][3], out[-1][4] = b, out[-1][3] + weight * float(share[i][lang]), out[-1][4] + weight
+            last = out[-1]
+            last[1], last[3], last[4], last[6] = b, last[3] + weight * float(share[i][lang]), last[4] + weight, i + 1
         else:
-            out.append([a, b, lang, weight * float(share[i][lang]), weight])
-    return [(a, b, model.languages[lang], round(got / weight, 4)) for a, b, lang, got, weight in out if weight > 0]
+            out.append([a, b, lang, weight * float(share[i][lang]), weight, i, i + 1])
+    found = []
+    for a, b, lang, got, weight, i, j in out:
+        size = float(sizes[i:j].sum())
+        if size >= ENOUGH and float(apart[i:j].sum()) < DOUBT * size:
+            end = int(starts[j]) if j < len(starts) else len(grams)
+            near = np.sort(model.cosines(grams[starts[i] : end], np.zeros(1, np.int64))[0])
+            if near[-1] < FAR and near[-1] - (near[-2] if len(near) > 1 else 0.0) < MARGIN:
+                found.append((a, b, UNKNOWN, round(float(1 - near[-1]), 4)))
+                continue
+        if weight > 0:
+            found.append((a, b, model.languages[lang], round(got / weight, 4)))
+    return found
 
 
 def fit(spark: SparkSession, sf_dir: str) -> Centroids:
     """Centroids from at most SAMPLE documents a language."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.substring("lang", 1, 2)).alias("lang"), "text")
-    docs = docs.filter(F.col("lang").isin(*LANGUAGES) & (F.length("text") > 200))
+    docs = docs.filter(F.col("lang").isin(*LANGUAGES) & F.length("text").between(201, LONGEST))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = docs.select("doc_id", "lang").withColumn("nth", nth).filter(F.col("nth") <= SAMPLE)
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").orderBy("lang", "nth").select("lang", "text").collect()
@@ -218,7 +240,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     def also(rel: str, text: str) -> str | None:
         if rel != "releases":
             return None
-        return ",".join(sorted({lang for a, b, lang, _ in segments(model.value, text) if b - a >= PASSAGE})) or None
+        return ",".join(sorted({lang for a, b, lang, _ in segments(model.value, text) if b - a >= PASSAGE and lang != UNKNOWN})) or None
 
     residue, passages = residue_records(spark, sf_dir, also=also)
     passages = passages.join(residue, ["rel", "rec_key"], "left_anti")

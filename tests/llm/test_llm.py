@@ -259,6 +259,27 @@ def test_languages_of_mixed_texts():
     assert language.segments(language.Centroids([]), text) == []
 
 
+OTHERS = {
+    "it": "la società ha annunciato oggi un nuovo mixer compatto con dodici canali, che sarà disponibile nei negozi a partire dalla prossima primavera e il prezzo consigliato è di duecento euro",
+    "nl": "het bedrijf heeft vandaag een nieuwe compacte mixer met twaalf kanalen aangekondigd, die vanaf het volgende voorjaar in de winkels verkrijgbaar zal zijn voor tweehonderd euro",
+    "fi": "yritys julkisti tänään uuden pienikokoisen mikserin, jossa on kaksitoista kanavaa ja joka tulee kauppoihin ensi keväänä ja maksaa kaksisataa euroa laukun kanssa",
+}
+
+
+def test_other_languages_are_rejected():
+    texts = {
+        "en": "the firm said on monday that its newest desk would reach shops next spring and that owners of earlier models could trade them in at a reduced price for the rest of the year",
+        "de": "das unternehmen teilte am montag mit, dass das neueste pult im nächsten frühjahr in die läden kommt und dass besitzer früherer modelle es günstig eintauschen können",
+        "fr": "la société a indiqué lundi que sa nouvelle console arriverait en magasin au printemps prochain et que les possesseurs des modèles précédents pourraient les échanger",
+    }
+    rng = np.random.default_rng(1)
+    model = language.Centroids([(k, " ".join(rng.permutation(f"{t} {SAMPLES[k]}".split()))) for k, t in texts.items() for _ in range(6)])
+    for k, t in texts.items():
+        assert [x[2] for x in language.segments(model, t)] == [k]
+    for t in OTHERS.values():
+        assert {x[2] for x in language.segments(model, t)} == {language.UNKNOWN}
+
+
 # 7
 
 WORDS = st.lists(st.sampled_from("alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()), min_size=70, max_size=110)

@@ -214,7 +214,7 @@ def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
                 _KNOWN[p] = known
         seed, in_use, m = known
         if (seed or in_use or m) and (m not in out or not (out[m][0] or out[m][1])):
-            out[m] = (seed or (lone and not in_use and m.count(" ") > 1), in_use, True, m)
+            out[m] = (seed or (lone and not in_use and " " in m), in_use, True, m)
     if rel == "page_cache":
         for p in notices(text):
             if (m := masked(p)) and m not in out:

@@ -1,32 +1,59 @@
 """Positioned words of a page (the XML that PDF extractors give) to markup in the subset.
 
 Words join to lines where their heights overlap, lines to paragraphs where they follow
-closely; large lines are headings, bulleted ones list items. The extractor itself is
-outside: its XML comes in as data.
+closely; large lines are headings, bulleted ones items of lists, which nest by their
+indent. Words that stand on their side, and lines in the margins that come on several pages,
+are left out. The extractor itself is outside: its XML comes in as data.
+
+Defined results: null stays null; XML that can't be read gives empty texts.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from statistics import median
 from xml.etree import ElementTree
 
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpusloom.functions.richtext import to_text
+
 # Share of overlap that makes one line, blank widths within a word, sizes of
 # headings and distances of paragraphs against the median, and the indent of a list.
 OVERLAP, TOUCH, HEADING, PARAGRAPH, INDENT = 0.6, 0.15, 1.6, 1.6, 12.0
+# Height from which a narrow word is turned, and its greatest width against that; share of a
+# page's height that is margin.
+TURNED, NARROW, EDGE = 40.0, 0.25, 0.06
 _BULLET = re.compile(r"^\s*([•·▪◦*–-]|\d{1,2}[.)])\s+")
 
 
-def page_words(xml: str) -> list[list[tuple[float, float, float, float, str]]]:
-    """(left, top, right, bottom, word) of each page's words."""
+Word = tuple[float, float, float, float, str]
+
+
+def page_words(xml: str) -> list[tuple[float, list[Word], list[Word]]]:
+    """(height, upright words, turned ones) of each page; a word is (left, top, right, bottom, text)."""
     root = ElementTree.fromstring(re.sub(r"\sxmlns=\"[^\"]+\"", "", xml, count=1))
     pages = []
     for page in root.iter("page"):
-        pages.append([(float(w.get("xMin")), float(w.get("yMin")), float(w.get("xMax")), float(w.get("yMax")), w.text or "") for w in page.iter("word")])
+        words = [(float(w.get("xMin")), float(w.get("yMin")), float(w.get("xMax")), float(w.get("yMax")), w.text or "") for w in page.iter("word")]
+        turned = [w for w in words if w[3] - w[1] > TURNED and w[2] - w[0] < NARROW * (w[3] - w[1])]
+        pages.append((float(page.get("height") or 0), [w for w in words if w not in turned], turned))
     return pages
 
 
+def body_lines(pages: list[tuple[float, list[Word], list[Word]]]) -> list[tuple[float, float, float, str]]:
+    """The lines of all pages but for those that stand in a margin on several of them."""
+    found = [(height, line) for height, words, _ in pages for line in lines(words)]
+    edge = lambda height, line: height > 0 and (line[1] < EDGE * height or line[1] + line[2] > (1 - EDGE) * height)
+    shape = lambda text: re.sub(r"\d+", "0", text)
+    often = Counter(shape(line[3]) for height, line in found if edge(height, line))
+    return [line for height, line in found if not (edge(height, line) and often[shape(line[3])] > 1)]
+
+
 def lines(words: list[tuple[float, float, float, float, str]]) -> list[tuple[float, float, float, str]]:
     """(left, top, height, text) of the lines, from top to bottom."""
     rows: list[list] = []
@@ -52,7 +79,7 @@ def lines(words: list[tuple[float, float, float, float, str]]) -> list[tuple[flo
 
 def to_markup(xml: str) -> str:
     """The document's headings, lists and paragraphs."""
-    every = [line for words in page_words(xml) for line in lines(words)]
+    every = body_lines(page_words(xml))
     if not every:
         return ""
     usual = median(x[2] for x in every)
@@ -76,12 +103,46 @@ def to_markup(xml: str) -> str:
     while i < len(out):
         kind = out[i][0]
         if kind in ("ul", "ol"):
-            items = []
-            while i < len(out) and out[i][0] == kind:
-                items.append(f"<li>{html.escape(out[i][1], quote=False)}</li>")
-                i += 1
-            parts.append(f"<{kind}>{''.join(items)}</{kind}>")
+            j = i
+            while j < len(out) and out[j][0] in ("ul", "ol"):
+                j += 1
+            parts += _lists(out[i:j])
+            i = j
         else:
             parts.append(f"<{kind}>{html.escape(out[i][1], quote=False)}</{kind}>")
             i += 1
     return "\n".join(parts)
+
+
+def _lists(items: list[tuple[str, str, float]]) -> list[str]:
+    """Items (kind, text, left) as lists; one that is indented further lies within the item before."""
+    made: list[str] = []
+    i = 0
+    while i < len(items):
+        kind, _, left = items[i]
+        rows = []
+        while i < len(items) and items[i][0] == kind and items[i][2] < left + INDENT:
+            text, j = html.escape(items[i][1], quote=False), i + 1
+            while j < len(items) and items[j][2] >= left + INDENT:
+                j += 1
+            rows.append(f"<li>{text}{''.join(_lists(items[i + 1 : j]))}</li>")
+            i = j
+        made.append(f"<{kind}>{''.join(rows)}</{kind}>")
+    return made
+
+
+_CONVERTED = T.StructType([T.StructField(n, T.StringType()) for n in ("body", "body_html", "turned")])
+
+
+@F.pandas_udf(_CONVERTED)
+def converted(documents: pd.Series) -> pd.DataFrame:
+    """struct(body, body_html, turned) of layouts: text, markup, and the words left out as turned."""
+    rows = []
+    for xml in documents:
+        try:
+            markup = to_markup(xml) if isinstance(xml, str) else None
+            turned = " ".join(w[4] for _, _, words in page_words(xml) for w in words) if isinstance(xml, str) else None
+        except (ElementTree.ParseError, TypeError, ValueError):
+            markup = turned = ""
+        rows.append((None if markup is None else to_text(markup), markup, turned))
+    return pd.DataFrame(rows, columns=["body", "body_html", "turned"])

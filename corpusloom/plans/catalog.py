@@ -601,6 +601,23 @@ def encoding_report(spark, d):
     return run(releases(spark, d))
 
 
+@query()
+def verify_encoding(spark, d):
+    from corpusloom.plans.pipeline import verify_encoding as run
+
+    return run(releases(spark, d), origins(spark, d), table(spark, d, "page_cache")).groupBy("verdict").agg(F.count("*").alias("n"))
+
+
+@query()
+def parse_listing(spark, d):
+    """The cached pages as their sources' parsers read them: entries, dated and titled ones."""
+    from corpusloom.functions import parsers
+    from corpusloom.functions.decode import decode_html
+
+    cache = spread(table(spark, d, "page_cache").filter(pages.kind_of() == "html").select(F.col("url").alias("key"), F.lit(None).cast("string").alias("source"), decode_html().alias("page"), address.page_of("url").alias("url")))
+    return parsers.parsed(cache).agg(F.count("*").alias("entries"), F.count_if(F.col("date") != "").alias("dated"), F.count_if(F.col("title") != "").alias("titled"))
+
+
 @query()
 def extract_pages(spark, d):
     from corpusloom.plans.pipeline import extracted_pages

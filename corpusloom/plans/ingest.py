@@ -234,6 +234,72 @@ def retext(releases: DataFrame, derived: DataFrame, source: str | None = None) -
     return _result(both, outcome, {"body": F.col("new")}, F.col("outcome") == "upgraded")
 
 
+# -- attachments ----------------------------------------------------------------------------
+
+
+def attachment_score(kind: Column, body: Column) -> Column:
+    """What a capture of an attachment is worth: its text's length, nothing if it is no attachment."""
+    return F.when(kind.isin("pdf", "doc"), F.length(F.coalesce(body, F.lit("")))).otherwise(0)
+
+
+def article_score(title: Column, body: Column) -> Column:
+    """What a capture of an article is worth: nothing without a title, else its text's length or one."""
+    return F.when(F.coalesce(title, F.lit("")) == "", 0).otherwise(F.greatest(F.length(F.coalesce(body, F.lit(""))), F.lit(1)))
+
+
+def recover_article(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Best captures of articles' own addresses, and where those hold no text of their print
+    views, both as ``best_captures`` gives them under the article's address. An absence is
+    confirmed if both are."""
+    a = first.select("url", *[F.col(c).alias(f"a_{c}") for c in first.columns if c != "url"])
+    b = second.select("url", *[F.col(c).alias(f"b_{c}") for c in second.columns if c != "url"])
+    both = a.join(b, "url", "full")
+    use = _text("a_body") != ""
+    sure = F.coalesce("a_confirmed", F.lit(False)) & F.coalesce("b_confirmed", F.lit(False))
+    confirmed = F.when(use | (_text("b_body") != ""), True).otherwise(sure)
+    return both.select("url", *[F.when(use, F.col(f"a_{c}")).otherwise(F.coalesce(f"b_{c}", f"a_{c}")).alias(c) if c != "confirmed" else confirmed.alias(c) for c in first.columns if c != "url"])
+
+
+def attachment_rows(releases: DataFrame, origins: DataFrame, cache: DataFrame) -> DataFrame:
+    """Attachments without markup whose bytes the cache has: (id, url, source, body, origin_url, content, kind)."""
+    from corpusloom.sources.pages import kind_of
+
+    rows = releases.filter("body_html IS NULL").filter(attachment()).select("id", "url", "source", "body")
+    held = cache.select(F.col("url").alias("origin_url"), "content", kind_of().alias("kind"))
+    return rows.join(origins, "url").join(held, "origin_url")
+
+
+def reextract_attachments(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Attachments with the plain text that the extractor gives of their bytes now (origin_url,
+    text): written where nothing but white space differs. The grade stays as it is."""
+    both = rows.join(texts, "origin_url", "left")
+    outcome = F.when(_text("text") == "", "dead").when((_text("text") == _text("body")) | ~gates.same_text("body", "text"), "skipped").otherwise("upgraded")
+    return _result(both, outcome, {"body": F.col("text"), "origin_url": F.col("origin_url")}, F.col("outcome") == "upgraded")
+
+
+def write_richtext(rows: DataFrame, converted: DataFrame) -> DataFrame:
+    """PDF attachments with their structured form (origin_url, text, new_body, new_html): written
+    if it holds the same words as the plain text; other kinds are left to the text route."""
+    both = rows.join(converted, "origin_url", "left")
+    same = gates.same_words(_text("text"), _text("new_body"))
+    outcome = F.when(F.col("kind") != "pdf", "skipped").when(_text("new_html") == "", "dead").when(~same, "skipped").otherwise("upgraded")
+    why = F.when((F.col("kind") == "pdf") & (_text("new_html") == ""), "empty").when((F.col("kind") == "pdf") & ~same, "words")
+    writes = {"body": F.col("new_body"), "body_html": F.col("new_html"), "grade": F.lit("full"), "origin_url": F.col("origin_url")}
+    return _result(both.withColumn("why", why), outcome, writes, F.col("outcome") == "upgraded", "why")
+
+
+def from_mirrors(releases: DataFrame, variants: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Rows with the first of their mirrors, in order, whose attachment was had: ``variants`` are
+    (url, place, variant), ``fetched`` (url of the variant, text, origin_url, failed). A
+    longer text upgrades; no mirror with a text is dead, or uncertain if a fetch failed."""
+    seen = variants.join(fetched.select(F.col("url").alias("variant"), "text", F.col("origin_url").alias("found_at"), "failed"), "variant", "left")
+    good = F.col("text") != ""
+    best = seen.groupBy("url").agg(F.min(F.when(good, F.struct("place", "text", "found_at"))).alias("b"), F.max(F.coalesce("failed", F.lit(True))).alias("failed"))
+    rows = pending(releases).join(best, "url")
+    outcome = F.when(F.col("b").isNull(), F.when(F.col("failed"), "uncertain").otherwise("dead")).when(F.length("b.text") > F.length(_text("body")), "upgraded").otherwise("skipped")
+    return _result(rows, outcome, {"body": F.col("b.text"), "grade": F.lit("full"), "origin_url": F.col("b.found_at")}, F.col("outcome") == "upgraded")
+
+
 # -- writing ------------------------------------------------------------------------------
 
 

@@ -30,6 +30,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Pieces a task keeps; met again after that, a piece is encoded anew.
 KEPT = 500_000
+#: Characters behind a piece that its cut may depend on, by the pattern.
+AHEAD = 3
 
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -124,7 +126,7 @@ class TextEncoder:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.encoder = PrefixEncoder(ranks)
-        self.pieces = regex.compile(PATTERN).findall
+        self.pieces, self.cuts = regex.compile(PATTERN).findall, regex.compile(PATTERN).finditer
         self.known: dict[str, list[int]] = {}
 
     def encode(self, text: str | None) -> list[int]:
@@ -143,6 +145,41 @@ class TextEncoder:
         return ids
 
 
+    def encode_piece(self, piece: str) -> list[int]:
+        if (found := self.known.get(piece)) is None:
+            if len(self.known) > KEPT:
+                self.known.clear()
+            found = self.known[piece] = self.encoder.encode(piece.encode("utf-8", "surrogatepass"))
+        return found
+
+    def edited(self, pieces: list[str], start: int, end: int, new: str) -> list[str]:
+        """The pieces of a text with ``[start:end]`` replaced by ``new``, from its pieces before.
+
+        A piece depends on what stands from its start to AHEAD characters behind its end, so
+        those that end so far before the edit stay; then the text is cut anew until a cut
+        falls in with an old one behind the edit, from where on the old pieces stay."""
+        kept = at = 0
+        while kept < len(pieces) and at + len(pieces[kept]) + AHEAD <= start:
+            at += len(pieces[kept])
+            kept += 1
+        old, places = at, {}
+        for k in range(kept, len(pieces)):
+            if old >= end:
+                places[old] = k
+            old += len(pieces[k])
+        rest = "".join(pieces[kept:])
+        changed, shift = rest[: start - at] + new + rest[end - at :], len(new) - (end - start)
+        out = pieces[:kept]
+        for m in self.cuts(changed):
+            if m.start() + at >= start + len(new) and (k := places.get(m.start() + at - shift)) is not None:
+                return out + pieces[k:]
+            out.append(m.group())
+        return out
+
+    def ids(self, pieces: list[str]) -> list[int]:
+        return [i for piece in pieces for i in self.encode_piece(piece)]
+
+
 def encoded(df: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataFrame:
     """(key, ids) of every row; the vocabulary, of a fixed size, is broadcast."""
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(path))
@@ -163,3 +200,26 @@ def encoded(df: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataF
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k, without special tokens."""
     return encoded(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p8_titled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, ids) of every document with its title and a blank line before its text. The text
+    is appended to the title's pieces, so what the title gave is kept where it holds; a
+    null title or text counts as empty."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "title", "text")
+    ranks = spark.sparkContext.broadcast(read_ranks())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = TextEncoder(ranks.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                ids = []
+                for title, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                    head = f"{title or ''}\n\n"
+                    ids.append(encoder.ids(encoder.edited(encoder.pieces(head), len(head), len(head), text or "")))
+                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                flat = np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1]))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
+
+    return spread(docs).mapInArrow(work, "doc_id long, ids array<int>")

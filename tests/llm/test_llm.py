@@ -412,6 +412,20 @@ def test_appends_and_edits_are_exact(encoder, data, new, a, b):
     assert changed == data[:start] + new + data[end:] and again == e.last_tokens(changed)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab1 '\n\tsl!é", max_size=30), st.text("a1 'sl\n!", max_size=8), st.integers(0, 30), st.integers(0, 30))
+def test_edits_of_texts_are_exact(encoder, text, new, a, b):
+    start, end = sorted((min(a, len(text)), min(b, len(text))))
+    pieces = encoder.edited(encoder.pieces(text), start, end, new)
+    changed = text[:start] + new + text[end:]
+    assert pieces == encoder.pieces(changed) and encoder.ids(pieces) == encoder.encode(changed)
+
+
+def test_titles_and_texts_are_appended(spark, tables, encoder):
+    d = tables(documents=[{"doc_id": 1, "title": "It", "text": "'s 2 it."}, {"doc_id": 2, "text": "  x"}, {"doc_id": 3, "title": "T"}, {"doc_id": 4}])
+    assert dict(map(tuple, tokens.p8_titled(spark, d).collect())) == {1: encoder.encode("It\n\n's 2 it."), 2: encoder.encode("\n\n  x"), 3: encoder.encode("T\n\n"), 4: encoder.encode("\n\n")}
+
+
 # 9
 
 

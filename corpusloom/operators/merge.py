@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.address import is_capture
+from corpusloom.functions.decode import repair
 from corpusloom.operators.dedupe import first
 
 
@@ -26,6 +27,13 @@ def insert_or_ignore(stored: DataFrame, incoming: DataFrame, key: str = "url") -
     return ids.withColumn("id", F.col("top") + F.col("offset") + F.col("nth")).drop("part", "nth", "offset", "top", "ord")
 
 
+def insert_releases(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """``insert_or_ignore`` for releases: titles are repaired, bodies where there is no markup
+    that they follow from, and a row without a grade is a full one."""
+    new = incoming.withColumn("title", repair("title")["text"]).withColumn("body", F.when(F.col("body_html").isNull(), repair("body")["text"]).otherwise(F.col("body")))
+    return insert_or_ignore(stored, new.withColumn("grade", F.coalesce("grade", F.lit("full"))))
+
+
 def coalesce_upgrade(stored: DataFrame, updates: DataFrame, columns: list[str], key: str = "url") -> DataFrame:
     """Stored rows with the updates' columns laid over: '' overwrites, null keeps."""
     new = updates.select(key, *[F.col(c).alias(f"new_{c}") for c in columns])

@@ -316,7 +316,7 @@ def applied(releases: DataFrame, origins: DataFrame, result: DataFrame, source:
     columns = [c for c in WRITES if c != "origin_url"]
     kept = merge.coalesce_upgrade(releases, rows.filter("known").select("url", *columns), columns)
     new = rows.filter("known IS NULL").select("url", F.lit(source).alias("source"), *columns)
-    ids = merge.insert_or_ignore(releases.select("id", "url"), new.withColumn("ord", F.xxhash64("url")))
+    ids = merge.insert_releases(releases.select("id", "url"), new.withColumn("ord", F.xxhash64("url")))
     after = kept.unionByName(ids.select(*[F.col(c).cast(releases.schema[c].dataType) for c in releases.columns if c in ids.columns]), allowMissingColumns=True)
     if clear:
         return after, merge.clear_origins(origins, written_.select("url"))

@@ -56,7 +56,10 @@ MIXED, IDEOGRAPH = 6.0, 20.0
 IDEOGRAPHIC = ("shift_jis", "euc-jp", "gb18030", "big5", "euc-kr")
 
 _MODELLED = re.compile("[\x80-\u04ff\u2000-\u2bff\ufb00-\ufb06\ufffd]")
-_ESCAPED = re.compile(r"&amp;#?\w+;|&#?\w{2,8};|\+[A-Za-z0-9+/]{3,}-|(?:=[0-9A-F]{2}){2,}|(?:%[0-9A-Fa-f]{2}){2,}|\\u[0-9a-fA-F]{4}|\\x[89a-fA-F][0-9a-fA-F]")
+_ESCAPED = re.compile(  # each alternative looks back at the mark that the search runs for
+    r"[&+=%\\](?:(?<=&)(?:amp;#?\w+;|#?\w{2,8};)|(?<=\+)[A-Za-z0-9+/]{3,}-|(?<==)[0-9A-F]{2}(?:=[0-9A-F]{2})+"
+    r"|(?<=%)[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2})+|(?<=\\)(?:u[0-9a-fA-F]{4}|x[89a-fA-F][0-9a-fA-F]))"
+)
 _TOUCH = re.compile("[A-Za-z\u00c0-\u024f][\u0400-\u04ff]|[\u0400-\u04ff][A-Za-z\u00c0-\u024f]")
 _IDEOGRAPH = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _SURE = re.compile("[\x80-\x9f\ufffd\u2500-\u259f]|[\u00c3\u00c2\u0102\u00e2\u00d0\u00d1\u00ce][\x80-\xbf\u0152-\u0178\u02c6-\u2122]")
@@ -75,6 +78,21 @@ def _split(text: str) -> list[str]:
     return text.split(" ")
 
 
+_APART = ' \n\t\r<>"'
+
+
+def _escaped_words(text: str) -> set[str]:
+    """The words between blanks that hold an escape; an escape holds no blank itself."""
+    out, end = set(), 0
+    for m in _ESCAPED.finditer(text):
+        if m.start() >= end:
+            start = 1 + max(text.rfind(c, end, m.start()) for c in _APART)
+            ends = [i for c in _APART if (i := text.find(c, m.end())) >= 0]
+            start, end = max(start, end), min(ends, default=len(text))
+            out.add(text[start:end])
+    return out
+
+
 def _words(text: str) -> list[str]:
     """The words between blanks that hold anything outside ASCII (other white space, which
     may be part of a garbled sequence, stays inside)."""
@@ -244,7 +262,7 @@ class Plausibility:
             return text, False
         words = {*_words(text)}
         if _ESCAPED.search(text):
-            words |= {w for w in _split(text) if _ESCAPED.search(w)}
+            words |= _escaped_words(text)
         gains: dict[str, str] = {}
         doubtful: dict[str, tuple[str, float, tuple[str, ...]]] = {}
         for word in words:

@@ -75,10 +75,11 @@ LATIN = frozenset(
     "rutrum sagittis scelerisque sem suspendisse tellus tortor tristique ultrices ultricies varius vel vehicula venenatis viverra volutpat".split()
 )
 _WORD = re.compile(r"\w+")
+_MARKED = re.compile(r"[{<#%@$_\[X]")
 _HOST = re.compile(r"\.(?:example|com|org|net|de|fr|es|pl|ru)\b")
 _SITE = re.compile(r"\b(?:www\.)?[\w-]+\.(?:example|com|org|net|de|fr|es|pl|ru)\b")
 _PATH = re.compile(r"(?<![\w<])/[\w./?=&%-]+")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT = re.compile(r"\d")
 #: A status number put before a message; what programs name: "x", 'x', a.b(), f().
 _STATUS = re.compile(r"^\W*https? (?:error )?[1-5]\d\d\s*[-–:]\s*")
 _NAMED = re.compile(r"\"[\w-]{1,30}\"|'[\w-]{1,30}'|\b[\w.]{2,40}\((?:unknown source)?\)|(?<=upstream )\w+")
@@ -121,7 +122,7 @@ def bare(source: str, shown: list[str]) -> bool:
 
 def placeholder(passage: str) -> bool:
     """True for an unfilled part in use, not in a sentence that talks about such parts."""
-    if not any(c in passage for c in "{<#%@$_[X"):
+    if not _MARKED.search(passage):
         return False
     return any(not MENTION.search(passage[max(0, m.start() - 90) : m.start()]) for m in PLACEHOLDER.finditer(passage)) or bool(BRACKET.search(passage))
 
@@ -145,7 +146,7 @@ def masked(passage: str) -> str:
         passage = _PATH.sub(" ", passage)
     if '"' in passage or "'" in passage or "(" in passage:
         passage = _NAMED.sub(" ", passage)
-    if not passage.isascii() or _DIGIT.search(passage):
+    if _DIGIT.search(passage):
         passage = _NUMBER.sub(" ", _STATUS.sub("", passage))
     return " ".join(_WORD.findall(passage))
 
@@ -196,6 +197,19 @@ def similar_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype=bool)
 
 
+_VARYING = re.compile(r"[\d/\"'(]|\.[a-z]")
+
+
+def judged(passage: str) -> tuple[bool, bool, str]:
+    """(trusted, placeholder, masked) of a passage, its words found once where masks change none."""
+    low = passage.lower()
+    if _VARYING.search(low):
+        return trusted(passage), placeholder(passage), masked(passage)
+    words = _WORD.findall(low)
+    seed = bool(TRUSTED.match(low)) or (len(words) >= 5 and sum(map(LATIN.__contains__, words)) >= 0.8 * len(words))
+    return seed, placeholder(passage), " ".join(words)
+
+
 _KNOWN: dict[str, tuple[bool, bool, str]] = {}
 
 
@@ -207,7 +221,7 @@ def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
     lone = rel == "page_cache" and bare(text, found)
     for p in found:
         if (known := _KNOWN.get(p)) is None:
-            known = (trusted(p), placeholder(p), masked(p))
+            known = judged(p)
             if len(p) < 100:  # menus and the like come again and again
                 if len(_KNOWN) > 100_000:
                     _KNOWN.clear()

@@ -51,7 +51,7 @@ def test_talk_about_placeholders_is_none(text):
     assert not residue.placeholder(text)
 
 
-@pytest.mark.parametrize("text", ["HTTP 502 - Internal server error. Try later.", "Fehler 404: Die angeforderte Seite fehlt", "Lorem ipsum dolor sit amet quis", "Augue porta feugiat tempus magna sodales", "Включите JavaScript, чтобы увидеть эту страницу.", "Headline goes here", "ERR_CONNECTION_118: x refused"])
+@pytest.mark.parametrize("text", ["HTTP 502 - Internal server error. Try later.", "Fehler 404: Die angeforderte Seite fehlt", "Lorem ipsum dolor sit amet quis", "Augue porta feugiat tempus magna sodales", "Headline goes here", "ERR_CONNECTION_118: x refused"])
 def test_trusted_residue(text):
     assert residue.trusted(text) and residue.trusted(text.upper())
 
@@ -61,6 +61,11 @@ def test_sentences_are_no_residue(text):
     assert not residue.trusted(text)
 
 
+@given(st.text("aB 1/.\"'(){[Xéüorem ipsumdl\u0661", max_size=40))
+def test_passages_are_judged_alike_in_one_go(text):
+    assert residue.judged(text) == (residue.trusted(text), residue.placeholder(text), residue.masked(text))
+
+
 def test_filler_after_a_real_lead(spark, tables):
     lead = "Our new mixer with twelve channels ships in spring for owners of older models"
     latin = "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore. " * 7
@@ -77,6 +82,23 @@ def test_labels_spread_along_similar_passages(spark, tables):
     assert {r["rec_key"] for r in residue.p1_found(spark, d).collect()} == {"1", "2"}
 
 
+def test_labels_come_from_pages_and_spread_alone_finds_the_rest(spark, tables, monkeypatch):
+    """A bare page and a noscript notice are trusted; no rule knows their words."""
+    notice, wait = "Включите JavaScript, чтобы увидеть эту страницу.", "One moment, we are looking at your browser before opening {}.example. Ray {}"
+    page = lambda body, head="<title>T</title>": f"<html><head>{head}</head><body>{body}</body></html>".encode()
+    pages = [
+        {"url": "bare", "content": page(f"<h1>{wait.format('abc', '8334a151')}</h1>", "<title>One moment, we are looking</title>"), "id_content_type": "text/html"},
+        {"url": "beside", "content": page(f"<noscript>{notice}</noscript><p>{ARTICLE}</p>"), "id_content_type": "text/html"},
+        {"url": "shown", "content": page(f"<div><p>{notice}</p></div>"), "id_content_type": "text/html"},
+    ]
+    releases = [{"id": 1, "body": wait.format("xyz", "ff01a2b3") + " (1a2b3c4d)"}, {"id": 2, "body": ARTICLE}, {"id": 3, "body": notice}]
+    assert not any(residue.trusted(x) for x in (notice, wait))
+    d = tables(page_cache=pages, releases=releases)
+    assert {tuple(r) for r in residue.p1_reasons(spark, d).collect()} == {("page_cache", "bare", "trusted"), ("page_cache", "shown", "spread"), ("releases", "1", "spread"), ("releases", "3", "spread")}
+    monkeypatch.setattr(residue, "spread_labels", lambda passage, seeds: seeds.select("h").limit(0))
+    assert {tuple(r) for r in residue.p1_found(spark, d).collect()} == {("page_cache", "bare")}
+
+
 # 2
 
 CLEAN = ["Für Käthe Müller aus Zürich gibt es schöne Größen.", "Près de Nîmes, l’été a été très sec – déjà vu.", "Señor Almeñar llegó mañana a Málaga.", "Łódź i Gdańsk są piękne, że aż miło.", "Компания представила новую модель сегодня."]

@@ -52,6 +52,8 @@ STRETCH = 9.0
 OVER, WORSE, BETTER = 30.0, 12.0, 12.0
 #: Bits for each place where Latin and Cyrillic letters touch, and for an ideograph unseen.
 MIXED, IDEOGRAPH = 6.0, 20.0
+#: Records that are worked on at a time; words, and odd and repaired ones, that a task keeps.
+PART, WORDS_KEPT, REPAIRS_KEPT = 500, 100_000, 50_000
 #: Charsets of ideographs, tried where bytes are in none of the above; all are read strictly.
 IDEOGRAPHIC = ("shift_jis", "euc-jp", "gb18030", "big5", "euc-kr")
 
@@ -181,7 +183,7 @@ class Plausibility:
     def word(self, word: str) -> float:
         """Bits of a word between blanks."""
         if (cost := self._words.get(word)) is None:
-            if len(self._words) > 200_000:
+            if len(self._words) > WORDS_KEPT:
                 self._words.clear()
             cost = sum(self.character(*x) for x in _contexts(word)) + sum(22.0 for c in word if c > "\u04ff" and not _MODELLED.match(c))
             cost += sum(12.0 for m in _ESCAPED.finditer(word) if not _unescaped(m.group()).isascii()) + MIXED * len(_TOUCH.findall(word))
@@ -199,7 +201,7 @@ class Plausibility:
     def odd(self, word: str) -> bool:
         """True if the word is worth a search."""
         if (odd := self._odd.get(word)) is None:
-            if len(self._odd) > 200_000:
+            if len(self._odd) > WORDS_KEPT:
                 self._odd.clear()
             odd = bool(_SURE.search(word)) or any(self.character(*x) > ODD for x in _contexts(word)) or (self.word(word) >= 12 and bool(_ESCAPED.search(word)))
             self._odd[word] = odd
@@ -208,7 +210,7 @@ class Plausibility:
     def repair(self, word: str) -> tuple[str, float, tuple[str, ...]]:
         """The cheapest text reached from ``word``, the bits gained, the steps."""
         if (found := self._repairs.get(word)) is None:
-            if len(self._repairs) > 200_000:
+            if len(self._repairs) > REPAIRS_KEPT:
                 self._repairs.clear()
             found = self._repairs[word] = self._search(word)
         return found
@@ -469,6 +471,13 @@ def resolved(source: str) -> str:
     return _REFERENCE.sub(read, source) if "&" in source else source
 
 
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches in parts of PART records, so what is made of them is small at any time."""
+    for batch in batches:
+        for at in range(0, len(batch), PART):
+            yield batch.iloc[at : at + PART]
+
+
 def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "text string, garbled boolean", work=None, finish=None) -> DataFrame:
     """Every release and every HTML page with its text as written and mended.
 
@@ -488,7 +497,7 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
 
     def releases(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model.value
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             for key, source, body in zip(batch["id"], batch["source"], batch["body"]):
                 if isinstance(body, str):
@@ -499,7 +508,7 @@ def read_records(spark: SparkSession, sf_dir: str, model=None, columns: str = "t
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = model.value
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             for key, kind, charset, content in zip(batch["url"], batch["id_content_type"], batch["fw_guessed_charset"], batch["content"]):
                 if content is not None and is_html(content, kind):

@@ -1,16 +1,20 @@
 """Template residue and error-page text (problem 1).
 
 Every visible passage (line or block) of every record gets a 64-bit SimHash of its masked
-words. Passages that trusted rules know for residue are the seeds. Seeds are joined with
-all passages through partitioned tables (the four 16-bit blocks of the SimHash), where a
-seed looks up its own blocks and all that differ in one or two bits, so any passage within
-HAMMING bits is met in some block; what meets is verified by Hamming distance and by the Jaccard similarity of its
-five-word runs (0.8 or more). The trusted label then spreads along verified links until no
-passage is new, which labels exactly the connected components that hold a seed, while
-passages far from any seed are never compared with one another.
-
-Only the seeds' side of a join grows with residue, the other is the passages once; a
-passage that a third of all records show is one row for the comparison.
+words, from which addresses, numbers, codes and names in programs' messages are left out.
+Trusted labels come from what says so itself, in any language: pages that show nothing but
+a heading with the words of their title, what pages tell readers without scripts, reports
+of servers and programs, the usual Latin filler. Those passages are the seeds. They are
+joined with all passages through partitioned tables (the four 16-bit blocks of the SimHash,
+by bands of length), where a seed looks up its own blocks and all that differ in one or two
+bits, so any passage within HAMMING bits is met in some block; what meets is verified by
+Hamming distance and by the Jaccard similarity of its five-word runs (0.8 or more). The
+trusted label then spreads along verified links until no passage is new, which labels
+exactly the connected components that hold a seed, while passages far from any seed are
+never compared with one another.
+
+The tables are made once; only the seeds' side of a join grows with residue, and a passage
+that a third of all records show is one row for the comparison.
 
 Defined results: null and empty texts hold no passage; a passage of fewer than five words
 is similar only to itself; a placeholder inside a real sentence marks the record but does
@@ -156,7 +160,7 @@ _HASHES: dict[str, int] = {}
 
 def _hash(word: str) -> int:
     if (h := _HASHES.get(word)) is None:
-        if len(_HASHES) > 300_000:
+        if len(_HASHES) > 150_000:
             _HASHES.clear()
         h = _HASHES[word] = xxhash.xxh3_64_intdigest(word)
     return h
@@ -223,7 +227,7 @@ def _work(rel: str, text: str, garbled: bool) -> list[tuple]:
         if (known := _KNOWN.get(p)) is None:
             known = judged(p)
             if len(p) < 100:  # menus and the like come again and again
-                if len(_KNOWN) > 100_000:
+                if len(_KNOWN) > 50_000:
                     _KNOWN.clear()
                 _KNOWN[p] = known
         seed, in_use, m = known

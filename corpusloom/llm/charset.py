@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import dropped, spread, table, written
+from corpusloom.session import spread, table
 
 #: Charsets that bytes may have been in, or been taken for.
 CHARSETS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "koi8-r", "iso8859-5", "cp437", "cp850", "cp852", "cp866", "mac-roman", "mac-latin2")
@@ -419,10 +419,9 @@ def learn(spark: SparkSession, sf_dir: str) -> Plausibility:
     What comes to the driver is bounded at any size: a context needs LEAST_SHARE of all.
     """
     texts = spread(table(spark, sf_dir, "releases").select(F.col("body").alias("t"))).unionByName(spread(table(spark, sf_dir, "documents").select(F.col("text").alias("t"))))
-    counts = written(count_contexts(texts), "charset-contexts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.filter(F.col("n") >= F.lit(max(1, math.ceil(total * LEAST_SHARE)))).collect()
-    dropped(counts)
+    counts = count_contexts(texts)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()  # its shuffle is the one of the counts
+    rows = counts.filter(F.col("n") >= F.greatest(F.lit(1), F.ceil(total * LEAST_SHARE))).collect()
     return Plausibility({r["context"]: r["n"] for r in rows})
 
 

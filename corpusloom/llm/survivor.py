@@ -154,11 +154,11 @@ grades AS (SELECT * FROM (VALUES ('stub', 1), ('teaser', 2), ('full', 3)) g(v, k
 ranks AS (SELECT y.v, 1 + count(*) FILTER (WHERE net > 0 OR (net = 0 AND xk < y.k)) AS place FROM grades y JOIN
   (SELECT x.v AS xv, x.k AS xk, z.v AS zv, coalesce((SELECT c FROM votes WHERE older = x.v AND newer = z.v), 0) - coalesce((SELECT c FROM votes WHERE older = z.v AND newer = x.v), 0) AS net FROM grades x, grades z WHERE x.v <> z.v) p ON p.zv = y.v GROUP BY y.v),
 late AS (SELECT s.page, r.place, max(hi) AS hi FROM spans s JOIN ranks r ON s.v = r.v GROUP BY s.page, r.place),
-cur AS (SELECT t.*, coalesce(r.place, 0) AS learned, coalesce(moment, (SELECT max(hi) FROM late WHERE late.page = t.page AND late.place <= coalesce(r.place, 0)), '') AS at FROM timed t LEFT JOIN ranks r ON t.grade = r.v)
+cur AS (SELECT t.*, coalesce(r.place, 0) AS learned, coalesce(moment, (SELECT max(hi) FROM late WHERE late.page = t.page AND late.place <= coalesce(r.place, 0)), '') AS moved FROM timed t LEFT JOIN ranks r ON t.grade = r.v)
 SELECT min(id) AS group_id, max(CASE WHEN rn = 1 THEN id END) AS survivor_id, count(*) AS n,
   max(CASE WHEN rn = 1 THEN source END) AS source, max(CASE WHEN rn = 1 THEN grade END) AS grade,
-  arg_max(title, (at, learned, id)) FILTER (WHERE regexp_matches(title, '\S')) AS title, coalesce(arg_max(id, (at, learned, id)) FILTER (WHERE regexp_matches(title, '\S')), 0) AS title_from,
-  arg_max(date, (at, learned, id)) FILTER (WHERE regexp_matches(date, '\S')) AS date, coalesce(arg_max(id, (at, learned, id)) FILTER (WHERE regexp_matches(date, '\S')), 0) AS date_from,
+  arg_max(title, (moved, learned, id)) FILTER (WHERE regexp_matches(title, '\S')) AS title, coalesce(arg_max(id, (moved, learned, id)) FILTER (WHERE regexp_matches(title, '\S')), 0) AS title_from,
+  arg_max(date, (moved, learned, id)) FILTER (WHERE regexp_matches(date, '\S')) AS date, coalesce(arg_max(id, (moved, learned, id)) FILTER (WHERE regexp_matches(date, '\S')), 0) AS date_from,
   arg_min(detail_id, rn) FILTER (WHERE detail_id <> '') AS detail_id,
   md5(coalesce(max(CASE WHEN rn = 1 THEN body END), '')) AS body_md5
 FROM cur WHERE n > 1 GROUP BY page""",

@@ -27,6 +27,7 @@ is empty; ids come out once a pair, smaller first.
 from __future__ import annotations
 
 import bisect
+import functools
 import re
 from collections.abc import Iterator
 
@@ -49,6 +50,10 @@ SAMPLE, COMMON = 8_000, 200_000
 #: Of MINIMA, those a candidate must agree in: by one bit, and by eight. A pair with the share
 #: needed agrees in 51 (deviation 3.2) and 38 (3.9) on average, and is dropped once in 3 and 19 million.
 BIT_FILTER, BYTE_FILTER = 34, 18
+#: The same by three bits, for those that meet by a prefix: 42 (3.8) on average, dropped once in 25 million.
+BITS_FILTER = 21
+#: Rows of prefixes that meet in one pass, and most passes: beyond them a pass takes its share of the rows.
+PASS_ROWS, PASSES = 4_000_000, 8
 #: Runs that an alignment may lie off its commonest shift, and runs in order that make a part which groups count.
 BAND, PART = 64, 3
 #: Members of a class of copies that meet the class in one task.
@@ -99,8 +104,8 @@ def labelled(runs: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(runs: np.ndarray) -> tuple[np.ndarray, int, bytes]:
-    """(keys, one bit of each minimum, one byte of each minimum), all over distinct runs.
+def sketches(runs: np.ndarray) -> tuple[np.ndarray, int, int, int, bytes]:
+    """(keys, one bit of each minimum, another, a third, one byte of each minimum), all over distinct runs.
 
     A sketch hashes the KEEP least k-mers in the order of the text; the minima that no
     sketch uses are keys in twos."""
@@ -119,8 +124,8 @@ def sketches(runs: np.ndarray) -> tuple[np.ndarray, int, bytes]:
     twos = np.arange(REPEATS + 1, REPEATS + 1 + TWOS, dtype=np.uint64)
     for i in (0, 1):
         twos = _mix(twos * np.uint64(0x9E3779B97F4A7C15) + minima[REPEATS + i : REPEATS + 2 * TWOS : 2])
-    bits = int(np.packbits((minima >> np.uint64(40)).astype(np.uint8) & 1).view(np.int64)[0])
-    return np.concatenate((keys, twos)).view(np.int64), bits, (minima >> np.uint64(50)).astype(np.uint8).tobytes()
+    bits = (int(np.packbits((minima >> np.uint64(at)).astype(np.uint8) & 1).view(np.int64)[0]) for at in (40, 41, 42))
+    return np.concatenate((keys, twos)).view(np.int64), *bits, (minima >> np.uint64(50)).astype(np.uint8).tobytes()
 
 
 def prefix(runs: np.ndarray, common: np.ndarray, times: np.ndarray) -> tuple[int, np.ndarray]:
@@ -204,7 +209,7 @@ def common_runs(releases: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def classes(releases: DataFrame) -> DataFrame:
-    """(id, cls, keys, bits, sig, size, least): each record's class of exact copies, its
+    """(id, cls, keys, bits, bits1, bits2, sig, size, least): each record's class of exact copies, its
     sketches, and its distinct runs' number and prefix."""
     shared = releases.sparkSession.sparkContext.broadcast(common_runs(releases))
 
@@ -218,10 +223,10 @@ def classes(releases: DataFrame) -> DataFrame:
                     if len(runs):
                         rows.append((key, xxhash.xxh3_128_hexdigest(runs.tobytes()), *sketches(runs), *prefix(runs, common, times)))
             if rows:
-                key, cls, keys, bits, sig, size, least = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(cls), _lists(keys), pa.array(bits, pa.int64()), pa.array(sig, pa.binary()), pa.array(size, pa.int32()), _lists(least)], names=["id", "cls", "keys", "bits", "sig", "size", "least"])
+                key, cls, keys, *bits, sig, size, least = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(cls), _lists(keys), *(pa.array(b, pa.int64()) for b in bits), pa.array(sig, pa.binary()), pa.array(size, pa.int32()), _lists(least)], names=["id", "cls", "keys", "bits", "bits1", "bits2", "sig", "size", "least"])
 
-    return spread(releases.select("id", "title", "body")).mapInArrow(work, "id long, cls string, keys array<long>, bits long, sig binary, size int, least array<int>")
+    return spread(releases.select("id", "title", "body")).mapInArrow(work, "id long, cls string, keys array<long>, bits long, bits1 long, bits2 long, sig binary, size int, least array<int>")
 
 
 def _lists(arrays: tuple[np.ndarray, ...]) -> pa.ListArray:
@@ -238,10 +243,23 @@ def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _meeting(rows: DataFrame, *more: str) -> DataFrame:
-    """Pairs a < b of rows (key, id, size, bits, ...) that share a key and whose bits allow the
-    share needed; of both sides the columns left."""
+    """Pairs a < b of rows (key, id, size, bits, ...) that share a key; of both sides the columns left."""
     left, right = (rows.toDF("key", side, *(f"{c}_{side}" for c in ("size", "bits", *more))) for side in "ab")
-    return left.join(right, "key").filter("a < b").filter(F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= MINIMA - BIT_FILTER)
+    return left.join(right, "key").filter("a < b")
+
+
+def _differ(*bits: str):
+    """Minima that differ in one of some bits."""
+    return F.bit_count(functools.reduce(lambda x, y: x.bitwiseOR(y), (F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b")) for b in bits)))
+
+
+def _by_prefix(prefixes: DataFrame, passes: int, i: int) -> DataFrame:
+    """(a, b) of the classes that share a run of their prefixes, of the i-th of so many parts of the runs."""
+    more = "bits1", "bits2", "place"
+    least = prefixes.select("id", "size", "bits", "bits1", "bits2", F.posexplode("least").alias("place", "key")).filter(F.pmod("key", F.lit(passes)) == i)
+    rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    met = _meeting(least.select("key", "id", "size", "bits", *more), *more).filter(rest * (10 + TENTHS) >= (F.col("size_a") + F.col("size_b")) * TENTHS)
+    return met.filter(_differ("bits", "bits1", "bits2") <= MINIMA - BITS_FILTER).select("a", "b").distinct()
 
 
 def candidates(reps: DataFrame) -> DataFrame:
@@ -250,19 +268,24 @@ def candidates(reps: DataFrame) -> DataFrame:
     first common one on, the shorter rest must hold what the share needs.
 
     How many classes a key has is counted before its rows meet, and each part is written
-    before the next begins, so its shuffle files are gone by then."""
+    before the next begins, so its shuffle files are gone by then. Prefixes meet in passes, each
+    with its share of the keys, and three bits of each minimum go with them: set phrases bring
+    together far more classes than are alike, and those are gone before their pairs travel."""
     rows = reps.select(F.explode("keys").alias("key"), "id", "size", "bits")
     crowd = rows.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     rows = written(rows.join(crowd, "key"), "near-keys")
     hot = written(rows.filter(F.col("crowd") > HOT).select("id").distinct(), "near-hot")
-    by_sketch = _meeting(rows.filter(F.col("crowd") <= HOT).drop("crowd")).filter(F.least("size_a", "size_b") * 10 >= F.greatest("size_a", "size_b") * TENTHS)
+    by_sketch = _meeting(rows.filter(F.col("crowd") <= HOT).drop("crowd")).filter(_differ("bits") <= MINIMA - BIT_FILTER).filter(F.least("size_a", "size_b") * 10 >= F.greatest("size_a", "size_b") * TENTHS)
     by_sketch = written(by_sketch.select("a", "b").distinct(), "near-by-sketch")
-    least = reps.select("id", "size", "bits", "least").join(hot, "id", "left_semi").select("id", "size", "bits", F.posexplode("least").alias("place", "key")).select("key", "id", "size", "bits", "place")
-    rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-    by_prefix = _meeting(least, "place").filter(rest * (10 + TENTHS) >= (F.col("size_a") + F.col("size_b")) * TENTHS)
-    by_prefix = written(by_prefix.select("a", "b").distinct(), "near-by-prefix")
+    dropped(rows)
+    prefixes = written(reps.select("id", "size", "bits", "bits1", "bits2", "least").join(hot, "id", "left_semi"), "near-prefixes")
+    passes = max(1, min(PASSES, -(-(prefixes.agg(F.sum(F.size("least"))).first()[0] or 0) // PASS_ROWS)))
+    pairs = by_sketch
+    for i in range(passes):
+        pairs = pairs.unionByName(written(_by_prefix(prefixes, passes, i), "near-by-prefix"))
+    dropped(prefixes)
     sig = reps.select("id", "sig")
-    pairs = by_sketch.unionByName(by_prefix).distinct().join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+    pairs = pairs.distinct().join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
     return pairs.filter(_agree("sig_a", "sig_b") >= BYTE_FILTER).select("a", "b")
 
 

@@ -379,6 +379,25 @@ def test_repeats_lose_no_pair(spark, tables):
     assert {tuple(r) for r in neardup.p7_found(spark, tables(releases=rows)).collect()} == expected
 
 
+def test_prefixes_meet_in_passes_and_lose_no_pair(spark, tables, monkeypatch):
+    monkeypatch.setattr(neardup, "HOT", 2)
+    monkeypatch.setattr(neardup, "PASS_ROWS", 1_000, raising=False)
+    parts, plain = [], neardup.written
+    monkeypatch.setattr(neardup, "written", lambda df, name: parts.append((name, plain(df, name))) or parts[-1][1])
+    rng = np.random.default_rng(6)
+    rows, sets = [], {}
+    for k in range(80):  # fifteen of sixty phrases, so that all share some and few are alike
+        w = [f"p{p}w{i}" for p in rng.choice(60, 15, replace=False) for i in range(8)]
+        w = rows[-1]["body"].split()[:-4] + ["e"] * 4 if k % 8 == 7 else w
+        rows.append({"id": k, "body": " ".join(w)})
+        sets[k] = set(zip(w, w[1:], w[2:]))
+    expected = {(a, b) for a, b in combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
+    found = {tuple(r) for r in neardup.p7_found(spark, tables(releases=rows)).collect()}
+    passes = [df.count() for name, df in parts if name == "near-by-prefix"]
+    assert len(expected) >= 10 and found == expected
+    assert len(passes) > 1 and sum(passes) < 0.2 * 80 * 79 / 2
+
+
 def test_the_alignment_keeps_and_drops_pairs(spark, tables):
     rng = np.random.default_rng(4)
     w = [f"w{i}" for i in range(120)]

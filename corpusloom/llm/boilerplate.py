@@ -11,9 +11,9 @@ from pages that mark their parts (``main`` and ``article`` against ``nav``, ``as
 ``footer``) and, on other pages, from regions whose ratio is clear. Bodies of releases have
 no tags left but line breaks, so there the ratio is a line's length, smoothed alike.
 
-Threshold and words are fitted on a bounded sample, SAMPLE self-marking pages, as many
-others and as many bodies, by hash of their keys. The tasks count features, and only
-counts come to the driver. All else runs over all rows and whole texts.
+Threshold and words are fitted on all pages and bodies. Each page is read and parsed once;
+what its lines hold is kept, counted, and judged once the counts of all are there. The tasks
+count features, and only the counts of those that LEAST_SHARE of all show come to the driver.
 
 Defined results: null and empty texts have no lines; lines without a letter or digit
 outside markup are no cases, whatever they lie in; without pages to fit on the words say
@@ -22,6 +22,7 @@ nothing and the ratio decides alone, by fixed thresholds.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter, defaultdict
@@ -35,13 +36,13 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import charset
 from corpusloom.llm.residue import residue_records
-from corpusloom.session import spread, table
+from corpusloom.session import spread, written
 
-#: Most self-marking pages, most other pages, and most bodies that the models are fitted on.
-SAMPLE = 2000
 SIGMA = 1.0
 #: A word, pair or shape seen on fewer pages says nothing (names of single products).
 LEAST_PAGES = 3
+#: Nor does one of a smaller share of the pages' parts, which bounds the model at any size.
+LEAST_SHARE = 2e-4
 #: Thresholds of the regions' log ratio and of lines' log length where there is nothing to
 #: fit them on; a region is clear from CLEAR off.
 RATIO_AT, SIZE_AT, CLEAR = 3.3, 4.4, 0.9
@@ -57,6 +58,7 @@ _BOXES = frozenset(("div", "td", "th", "section", "header", "center", "blockquot
 _COOKIES = re.compile(r"(?i)cookies?\b|témoins de connexion|\bкуки\b")
 _CONSENT = re.compile(r"(?i)\b(?:accept|agree|policy|device|services|your|partners?|zustimm|stimmen|gerät|besuch|dienste|akzept|zaakcept|acept|mejorar|visita|equipo|socios|améliorer|visite|accepter|partenaires|wizyt|urządzeni|partner|устройств|посещени|соглас|приня|улучш)")
 _MARKS_MAIN, _MARKS_OTHER = re.compile(r"(?i)<(?:main|article)\b"), re.compile(r"(?i)<(?:nav|aside|footer)\b")
+_PAGE, _TAG = re.compile(r"(?i)<(?:body|p|div|td)\b"), re.compile(r"<\w+[^>]*>")
 _WORD = re.compile(r"[^\W\d_]+|\d+|©|®|[|>»•]")
 
 
@@ -112,6 +114,20 @@ class Lines(HTMLParser):
                 self.linked[first + i] += self._link * len(part)
 
 
+class Kept:
+    """The lines of a page as ``packed`` keeps them."""
+
+    def __init__(self, kept: str) -> None:
+        self.text, self.tags, self.linked, self.region, self.kind, self.marked, self.fits, self.source = json.loads(kept)
+
+
+def packed(source: str) -> str:
+    """What is judged of a page: its lines, whether it marks its parts, whether models are fitted
+    on it, and its source lines if it has no tag."""
+    page, marked = Lines(source), marks_itself(source)
+    return json.dumps([page.text, page.tags, page.linked, page.region, page.kind, marked, marked or bool(_PAGE.search(source)), None if _TAG.search(source) else source.split("\n")], separators=(",", ":"))
+
+
 def shown(text: str) -> bool:
     return any(c.isalnum() for c in text)
 
@@ -162,14 +178,13 @@ def marks_itself(source: str) -> bool:
     return bool(_MARKS_MAIN.search(source) and _MARKS_OTHER.search(source))
 
 
-def count_page(source: str, counts: dict[str, Counter[str]]) -> None:
+def count_page(page: Lines | Kept, marked: bool, counts: dict[str, Counter[str]]) -> None:
     """Add a page's regions to the histogram of ratios, and the features of its lines, once a
     page, to those of the part that the page's marks or a clear ratio put them in."""
-    page = Lines(source)
     ratios, smooth, numbers = page_ratios(page)
+    shown_in = Counter(page.region[i] for i in numbers)
     for r, ratio in ratios.items():
-        counts["ratio"][f"{ratio:.1f}"] += sum(page.region[i] == r for i in numbers)
-    marked = marks_itself(source)
+        counts["ratio"][f"{ratio:.1f}"] += shown_in[r]
     found: dict[str, set[str]] = defaultdict(set)
     for i in numbers:
         r = page.region[i]
@@ -213,43 +228,41 @@ def learn_words(pages: list[str], bodies: list[str] = ()) -> Words:
     """The models of some pages and bodies at hand."""
     counts: dict[str, Counter[str]] = defaultdict(Counter)
     for source in pages:
-        count_page(source, counts)
+        count_page(Lines(source), marks_itself(source), counts)
     for body in bodies:
         count_body(body, counts)
     return words_of(counts)
 
 
-def _sampled(rows: DataFrame, key: str, where: str) -> DataFrame:
-    """The SAMPLE rows of least hash among those that a condition holds for."""
-    hashed = rows.withColumn("k", F.xxhash64(key)).filter(where)
-    last = hashed.select("k").orderBy("k").limit(SAMPLE).agg(F.max("k")).first()[0]
-    return hashed.filter(F.col("k") <= F.lit(last).cast("long"))
-
-
-def fit(spark: SparkSession, sf_dir: str, model) -> Words:
-    """The models of the corpus; ``model``: the broadcast plausibility model that reads bytes."""
-    pages = table(spark, sf_dir, "page_cache").filter("content IS NOT NULL").select("url", "content", F.lower(F.col("content").cast("string")).alias("s"))
-    pages = pages.select("content", "url", (F.col("s").rlike("<(main|article)\\b") & F.col("s").rlike("<(nav|aside|footer)\\b")).alias("marked"), F.col("s").rlike("<(body|p|div|td)\\b").alias("page"))
-    bodies = table(spark, sf_dir, "releases").filter("body IS NOT NULL").select("id", "body")
-    sample = _sampled(pages, "url", "marked").unionByName(_sampled(pages, "url", "page AND NOT marked")).select("content", F.lit(None).cast("string").alias("body"))
-    sample = sample.unionByName(_sampled(bodies, "id", "true").select(F.lit(None).cast("binary").alias("content"), "body"))
+def fit(rows: DataFrame) -> Words:
+    """The models of the corpus, of (rel, other): its bodies, and its pages as ``packed`` keeps them."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: dict[str, Counter[str]] = defaultdict(Counter)
+
+        def flush() -> pd.DataFrame:
+            made = pd.DataFrame([(kind, feature, n) for kind, of in counts.items() for feature, n in of.items()], columns=["kind", "feature", "n"])
+            counts.clear()
+            return made
+
         for batch in batches:
-            for content, body in zip(batch["content"], batch["body"]):
-                if content is not None:
-                    count_page(model.value.read(bytes(content))[0], counts)
-                elif isinstance(body, str):
-                    count_body(model.value.mend(body)[0], counts)
-        rows = [(kind, feature, n) for kind, of in counts.items() for feature, n in of.items()]
-        if rows:
-            yield pd.DataFrame(rows, columns=["kind", "feature", "n"])
-
-    counted = spread(sample).mapInPandas(work, "kind string, feature string, n long").groupBy("kind", "feature").agg(F.sum("n").alias("n"))
-    seen = F.sum(F.when(F.col("kind").isin("main", "other"), F.col("n")).otherwise(LEAST_PAGES)).over(Window.partitionBy("feature"))
+            for rel, other in zip(batch["rel"], batch["other"]):
+                if rel != "page_cache":
+                    count_body(other, counts)
+                elif (page := Kept(other)).fits:
+                    count_page(page, page.marked, counts)
+                if len(counts["main"]) + len(counts["other"]) > 300_000:
+                    yield flush()
+        if any(counts.values()):
+            yield flush()
+
+    counted = spread(rows.select("rel", "other")).mapInPandas(work, "kind string, feature string, n long").groupBy("kind", "feature").agg(F.sum("n").alias("n"))
+    counted = written(counted, "page-words")
+    parts = counted.filter("kind = 'pages'").agg(F.sum("n")).first()[0] or 0
+    least = max(LEAST_PAGES, math.ceil(parts * LEAST_SHARE))
+    seen = F.sum(F.when(F.col("kind").isin("main", "other"), F.col("n")).otherwise(least)).over(Window.partitionBy("feature"))
     counts: dict[str, Counter[str]] = defaultdict(Counter)
-    for r in counted.withColumn("seen", seen).filter(F.col("seen") >= LEAST_PAGES).collect():
+    for r in counted.withColumn("seen", seen).filter(F.col("seen") >= least).collect():
         counts[r["kind"]][r["feature"]] = r["n"]
     return words_of(counts)
 
@@ -261,7 +274,7 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(framed, kernel / kernel.sum(), mode="valid")
 
 
-def page_ratios(page: Lines) -> tuple[dict[int, float], list[float], list[int]]:
+def page_ratios(page: Lines | Kept) -> tuple[dict[int, float], list[float], list[int]]:
     """(log ratio of text to tags of each region, how far each line's smoothed log ratio lies
     above the spread of the page's, numbers of the shown lines)."""
     numbers = [i for i, t in enumerate(page.text) if t and shown(t)]
@@ -277,9 +290,9 @@ def page_ratios(page: Lines) -> tuple[dict[int, float], list[float], list[int]]:
     return {r: math.log1p(n / tags[r]) for r, n in text.items()}, smooth.tolist(), numbers
 
 
-def page_lines(words: Words, source: str) -> tuple[list[int], list[int]]:
+def page_lines(words: Words, source: str | Kept) -> tuple[list[int], list[int]]:
     """Numbers of the shown lines outside and inside the article of a page."""
-    page = Lines(source)
+    page = Lines(source) if isinstance(source, str) else source
     ratios, smooth, numbers = page_ratios(page)
     out, inside, open_ = [], [], []
     for i in numbers:  # a clear ratio decides alone
@@ -328,36 +341,42 @@ def body_lines(words: Words, body: str) -> tuple[list[int], list[int]]:
     return out, inside
 
 
-def models(spark: SparkSession, sf_dir: str):
-    """Both models, sent to the tasks once; each is bounded by its own parameters."""
-    model = spark.sparkContext.broadcast(charset.learn(spark, sf_dir))
-    return model, spark.sparkContext.broadcast(fit(spark, sf_dir, model))
-
-
 def _lines(spark: SparkSession, sf_dir: str, make) -> DataFrame:
-    """(rel, rec_key, other) of the records that are no residue; ``make`` gets the record's
-    text and its lines outside and inside the article. Mending replaces words only, so the
-    lines keep their numbers."""
-    model, words = models(spark, sf_dir)
+    """(rel, rec_key, other) of the records that are no residue; ``make`` gets the record's body
+    or kept page and its lines outside and inside the article. Mending replaces words only, so
+    the lines keep their numbers."""
+    model = spark.sparkContext.broadcast(charset.learn(spark, sf_dir))
+    residue, rows = residue_records(spark, sf_dir, model, lambda rel, text: packed(text) if rel == "page_cache" else text)
+    words = spark.sparkContext.broadcast(fit(rows))
 
-    def also(rel: str, text: str) -> str | None:
-        return make(text, *(page_lines if rel == "page_cache" else body_lines)(words.value, text))
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = []
+            for rel, key, other in zip(batch["rel"], batch["rec_key"], batch["other"]):
+                record = Kept(other) if rel == "page_cache" else other
+                if (x := make(record, *(page_lines if rel == "page_cache" else body_lines)(words.value, record))) is not None:
+                    made.append((rel, key, x))
+            if made:
+                yield pd.DataFrame(made, columns=["rel", "rec_key", "other"])
 
-    residue, rows = residue_records(spark, sf_dir, model, also)
-    return rows.join(residue, ["rel", "rec_key"], "left_anti")
+    judged = spread(rows.select("rel", "rec_key", "other")).mapInPandas(work, "rel string, rec_key string, other string")
+    return judged.join(residue, ["rel", "rec_key"], "left_anti")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel, rec_key, line_no) of the shown lines that are not part of the article."""
-    rows = _lines(spark, sf_dir, lambda text, out, inside: ",".join(map(str, out)) or None)
+    rows = _lines(spark, sf_dir, lambda record, out, inside: ",".join(map(str, out)) or None)
     return rows.select("rel", "rec_key", F.explode(F.split("other", ",").cast("array<int>")).alias("line_no")).distinct()
 
 
 def p4_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel, rec_key, article): the source lines of the article alone, as plain text."""
 
-    def make(text: str, out: list[int], inside: list[int]) -> str:
-        lines = Lines(text).text if re.search(r"<\w+[^>]*>", text) else text.split("\n")
+    def make(record: str | Kept, out: list[int], inside: list[int]) -> str:
+        if isinstance(record, str):
+            lines = Lines(record).text if _TAG.search(record) else record.split("\n")
+        else:
+            lines = record.source or record.text
         return "\n".join(lines[i].strip() for i in inside if i < len(lines))
 
     return _lines(spark, sf_dir, make).select("rel", "rec_key", F.col("other").alias("article")).dropDuplicates(["rel", "rec_key"])

@@ -254,6 +254,17 @@ def test_thresholds_are_clustered():
     assert boilerplate.valley({"1.0": 10, "1.2": 10, "4.8": 1, "5.0": 1}, 0.0) == pytest.approx(3.0)
 
 
+def test_the_models_are_fitted_on_all_pages_and_bodies(spark, tables, monkeypatch):
+    monkeypatch.setattr(boilerplate, "SAMPLE", 5, raising=False)
+    seen, plain = [], boilerplate.words_of
+    monkeypatch.setattr(boilerplate, "words_of", lambda counts: seen.append(counts) or plain(counts))
+    pages = [{"url": f"http://x/{i}", "content": PAGE.format(ARTICLE).encode(), "id_content_type": "text/html"} for i in range(40)]
+    d = tables(page_cache=pages, releases=[{"id": i, "body": f"{ARTICLE}\n{ARTICLE}"} for i in range(30)])
+    found = boilerplate.p4_found(spark, d).collect()
+    assert seen[0]["pages"] == {"main": 40, "other": 40} and seen[0]["main"]["mixer"] == 40 and sum(seen[0]["size"].values()) == 60
+    assert len({r["rec_key"] for r in found}) == 40
+
+
 def test_long_lines_are_judged_as_the_model_was_fitted():
     words = boilerplate.learn_words([PAGE.format(ARTICLE)] * 5)
     notice = f"{ARTICLE * 3}We use cookies on your device."

@@ -409,6 +409,16 @@ def test_prefixes_meet_in_passes_and_lose_no_pair(spark, tables, monkeypatch):
     assert len(passes) > 1 and sum(passes) < 0.2 * 80 * 79 / 2
 
 
+def test_runs_are_counted_over_all_releases(spark, tables, monkeypatch):
+    monkeypatch.setattr(neardup, "SAMPLE", 5, raising=False)
+    bodies = [" ".join([f"set{i}" for i in range(30)] + [f"r{k}w{i}" for i in range(40)]) for k in range(50)]
+    d = tables(releases=[{"id": k, "body": b} for k, b in enumerate(bodies)] + [{"id": 90, "body": "short text"}, {"id": 91}])
+    times = neardup.run_counts(spark.read.parquet(f"{d}/releases.parquet"))
+    runs = neardup.kmers(None, bodies[7])
+    assert len(runs) == 68 and times[runs[:28] % np.uint64(neardup.SLOTS)].min() >= 50 and times.sum() == 50 * 68
+    assert set(neardup.prefix(runs, times)[1].tolist()) <= set(runs[28:].astype(np.uint32).view(np.int32).tolist())
+
+
 def test_the_alignment_keeps_and_drops_pairs(spark, tables):
     rng = np.random.default_rng(4)
     w = [f"w{i}" for i in range(120)]
